@@ -5,14 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, token_blocks, warc
+from .shared import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "tokens")
+    token_blocks.write_tokens(_table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"), end_id=2)
+    back = token_blocks.read_tokens(spark, folder)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.plan(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -31,7 +52,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
+    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
