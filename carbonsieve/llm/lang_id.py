@@ -17,7 +17,6 @@ are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,14 +36,25 @@ MAX_GRAMS = 40_000
 LONGEST_WORD = 24
 
 
+@dataclass
+class Table:
+    """Entries and, per entry, a row of log shares by language."""
+
+    keys: dict[str, int]
+    rows: np.ndarray
+
+    def get(self, key: str) -> np.ndarray | None:
+        at = self.keys.get(key)
+        return None if at is None else self.rows[at]
+
+
 @dataclass
 class Model:
-    """Log shares per language: by word, and per order by n-gram; rows are languages' scores."""
+    """Languages in order, the table of words and that of each n-gram order."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
-    unseen: np.ndarray
+    words: Table
+    grams: dict[int, Table]
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -86,30 +96,21 @@ def train(
     from .shared import written
 
     counts = written(word_counts(docs, text_col, lang_col), "lang-words") if counts is None else counts
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     at = {lang: i for i, lang in enumerate(langs)}
 
-    def table(rows: list, key: str) -> dict[str, np.ndarray]:
-        sums = np.zeros(len(langs))
-        seen = []
-        for r in rows:
-            n = np.zeros(len(langs))
+    def table(rows: list, key: str) -> Table:
+        n = np.zeros((len(rows), len(langs)))
+        for i, r in enumerate(rows):
             for x in r["by"]:
-                n[at[x["lang"]]] = x["n"]
-            sums += n
-            seen.append((r[key], n))
+                n[i, at[x["lang"]]] = x["n"]
         # half a count for what a language has not shown
-        return {k: np.log((n + 0.5) / (sums + 0.5 * (len(seen) + 1))).astype(np.float32) for k, n in seen}
+        shares = (n + 0.5) / (n.sum(axis=0) + 0.5 * (len(rows) + 1))
+        return Table({r[key]: i for i, r in enumerate(rows)}, np.log(shares).astype(np.float32))
 
-    words = table(_top(counts.where(F.length("word") <= LONGEST_WORD), "word", max_words), "word") if langs else {}
-    grams: dict[int, dict[str, np.ndarray]] = {}
-    if langs:
-        pieces = written(gram_counts(counts), "lang-grams")
-        grams = {k: table(_top(pieces.where(F.col("size") == k), "gram", max_grams), "gram") for k in ORDERS}
-    total = sum(totals.values()) or 1
-    unseen = np.log(np.array([(totals[x] + 0.5) / (total + 0.5 * len(langs)) for x in langs] or [1.0])).astype(np.float32)
-    return Model(langs, words, grams, unseen)
+    pieces = written(gram_counts(counts), "lang-grams")
+    words = table(_top(counts.where(F.length("word") <= LONGEST_WORD), "word", max_words), "word")
+    return Model(langs, words, {k: table(_top(pieces.where(F.col("size") == k), "gram", max_grams), "gram") for k in ORDERS})
 
 
 class Scorer:
@@ -127,10 +128,10 @@ class Scorer:
         """The mean over the n-grams of the greatest order of which the model knows any."""
         padded = f" {w} "
         for k in ORDERS:
-            table = self.model.grams.get(k, {})
-            found = [v for i in range(len(padded) - k + 1) if (v := table.get(padded[i : i + k])) is not None]
+            table = self.model.grams[k]
+            found = [at for i in range(len(padded) - k + 1) if (at := table.keys.get(padded[i : i + k])) is not None]
             if found:
-                return np.mean(found, axis=0, dtype=np.float32)
+                return table.rows[found].mean(axis=0)
         return np.zeros(len(self.model.langs), np.float32)
 
     def text(self, text: str | None) -> tuple[str, float]:
@@ -159,7 +160,7 @@ def predicted(spark: SparkSession, text: Column, model: Model) -> Column:
 
     @pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _SCORERS.get(sent._jbroadcast_id if hasattr(sent, "_jbroadcast_id") else id(sent.value))
+        scorer = _SCORERS.get(id(sent.value))
         if scorer is None:
             scorer = Scorer(sent.value)
             _SCORERS.clear()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, token_blocks, warc
+from . import exact_dedup, lang_id, mixing, token_blocks, warc
 from .shared import shared_dir
 
 
@@ -43,6 +43,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lang_id.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return rows.select("doc_id", lang_id.held_out(F.col("doc_id")).alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"))
+
+
 OP7_SQL = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
@@ -52,7 +57,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
+    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
