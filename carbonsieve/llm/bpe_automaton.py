@@ -3,9 +3,8 @@
 The automaton starts with one state that reads every base symbol and returns to itself. Each
 merge (u, v) -> w, in order, adds one gadget: the state s that u leads to is copied without
 its arc for v, u is led to the copy, and every state that reads u also reads w and goes where
-v leads. All arcs of a token lead to one state, so the automaton is held as the state of each
-token plus, per state, its origin and the arc that it lost; the arc table of a state is filled
-in as it is used. A pre-split word has exactly one accepted path, which is found from left to
+v leads. All arcs of a token lead to one state, so the automaton is held as the gadgets by the
+arc that each took, and the arc table is filled in from them as it is used. A pre-split word has exactly one accepted path, which is found from left to
 right: of every prefix the automaton leaves one last token.
 
 Texts are cut at plain spaces and line feeds (no token spans them), and what a piece encodes
@@ -22,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,86 +32,97 @@ from pyspark.sql.functions import pandas_udf
 from .token_blocks import ChunkCache, slices
 
 GAPS = re.compile("[ \n]+")
+PRINTABLE = re.compile("[!-~]+")
+ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: the rules of a vocabulary file for which ASCII_WORDS is a shortcut
+NORMAL_RULES = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_RULES = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 class MergeAutomaton:
-    """States and arcs over the tokens of a list of merges."""
+    """States and arcs over the tokens of a list of merges.
 
-    def __init__(self, base: list[int], merges: list[tuple[int, int, int]], arcs_kept: int = 1_000_000):
-        """``merges``: (u, v, w) ids in order of priority."""
-        size = max([*base, *(w for _, _, w in merges), 0]) + 1
-        self.after = [0] * size  # the state that a token leads to
+    As all arcs of a token lead to one state, a state is named by that token. Its arcs follow
+    from the gadgets along its origins: (u, v) -> w takes the arc v from the state of u, the
+    state of w starts as that of v was then, and w can be read where u can.
+    """
+
+    def __init__(self, base: dict[str, int], merges: list[tuple[int, int, int]], arcs_kept: int = 200_000):
+        """``base``: symbols to ids; ``merges``: (u, v, w) ids in order of priority."""
+        self.size = size = max([*base.values(), *(w for _, _, w in merges), 0]) + 1
         self.rank = [-2] * size  # when a token came: -1 base, -2 never
-        self.left = [-1] * size
-        self.origin, self.lost, self.made = [-1], [-1], [-1]  # of each state
-        self.spelt: list[tuple[int, ...]] = [()] * size
-        for b in base:
-            self.rank[b], self.spelt[b] = -1, (b,)
+        self.left, self.right = [-1] * size, [-1] * size
+        self.lost: dict[int, int] = {}  # (u, v): the gadget that takes v from the state of u
+        self.spelt: list[tuple[str, ...]] = [()] * size
+        for symbol, b in base.items():
+            self.rank[b], self.spelt[b] = -1, (symbol,)
         for r, (u, v, w) in enumerate(merges):
             if self.rank[u] == -2 or self.rank[v] == -2 or self.rank[w] != -2:
                 raise ValueError("merges must build each token once, from earlier ones")
-            s, beyond = self.after[u], self.after[v]
-            self.origin.append(s)
-            self.lost.append(v)
-            self.made.append(r)
-            self.after[u] = len(self.made) - 1
-            self.after[w], self.rank[w], self.left[w] = beyond, r, u
+            self.lost[u * size + v] = r
+            self.rank[w], self.left[w], self.right[w] = r, u, v
             self.spelt[w] = self.spelt[u] + self.spelt[v]
-        self.size, self.arcs_kept = size, arcs_kept
+        self.lengths = [len(x) for x in self.spelt]
+        self.arcs_kept = arcs_kept
         self.arcs: dict[int, bool] = {}
-        self.trie: dict[int, int] = {}
-        self.ends: list[int] = [-1]
+        #: the spellings as a tree: symbol -> [children, token that ends here or -1]
+        self.tree: dict[str, list] = {}
         for t in range(size):
-            if self.rank[t] == -2:
-                continue
-            node = 0
-            for b in self.spelt[t]:
-                key = node * size + b
-                if (node := self.trie.get(key, -1)) < 0:
-                    node = self.trie[key] = len(self.ends)
-                    self.ends.append(-1)
-            self.ends[node] = t
-
-    def reads(self, state: int, token: int) -> bool:
-        """Whether the state has an arc for the token."""
-        key = state * self.size + token
-        known = self.arcs.get(key)
-        if known is None:
-            if len(self.arcs) >= self.arcs_kept:
-                self.arcs.clear()
-            known = self.arcs[key] = self._compile(state, token)
-        return known
+            kids, node = self.tree, None
+            for symbol in self.spelt[t]:
+                if (node := kids.get(symbol)) is None:
+                    node = kids[symbol] = [{}, -1]
+                kids = node[0]
+            if node is not None:
+                node[1] = t
 
     def _compile(self, state: int, token: int) -> bool:
+        """Whether the finished automaton has this arc: it has unless a gadget took it."""
+        rank, lost, size = self.rank, self.lost, self.size
+        until = len(lost)
         while True:
-            if self.made[state] <= self.rank[token]:
-                # the token came when the state was there: it reads it iff it reads its left part
-                if self.rank[token] == -1:
-                    return True
-                token = self.left[token]
-            elif self.lost[state] == token:
+            if lost.get(state * size + token, until) < until:
                 return False
+            if rank[state] > rank[token]:
+                # before the state's token came, it was the state of its right part
+                until, state = rank[state], self.right[state]
+            elif rank[token] >= 0:
+                # from when the token came, it is read where its left part is read
+                until, token = rank[token] + 1, self.left[token]
             else:
-                state = self.origin[state]
+                return True
 
-    def encode(self, symbols: list[int]) -> list[int]:
+    def encode(self, symbols: list[str]) -> list[int]:
         """The tokens on the one accepted path that spells the base symbols."""
-        n, size, trie, ends = len(symbols), self.size, self.trie, self.ends
+        n, size, arcs = len(symbols), self.size, self.arcs
         last = [-1] * (n + 1)
         for j in range(n):
-            state = self.after[last[j]] if j else 0
-            node = 0
+            row = last[j] * size
+            kids = self.tree
             for i in range(j, n):
-                node = trie.get(node * size + symbols[i], -1)
-                if node < 0:
+                node = kids.get(symbols[i])
+                if node is None:
                     break
-                t = ends[node]
-                if t >= 0 and last[i + 1] < 0 and self.reads(state, t):
+                kids, t = node
+                if t >= 0 and last[i + 1] < 0:
+                    if j:
+                        if (reads := arcs.get(row + t)) is None:
+                            if len(arcs) >= self.arcs_kept:
+                                arcs.clear()
+                            reads = arcs[row + t] = self._compile(last[j], t)
+                        if not reads:
+                            continue
                     last[i + 1] = t
         out, i = [], n
         while i:
             out.append(last[i])
-            i -= len(self.spelt[last[i]])
+            i -= self.lengths[last[i]]
         return out[::-1]
 
 
@@ -131,15 +142,17 @@ class WordBpe:
         made = {u + v for u, v in merges}
         self.vocab = vocab
         self.base = {s: i for s, i in vocab.items() if s not in made}
-        self.automaton = MergeAutomaton(list(self.base.values()), [(vocab[u], vocab[v], vocab[u + v]) for u, v in merges])
+        self.automaton = MergeAutomaton(self.base, [(vocab[u], vocab[v], vocab[u + v]) for u, v in merges])
         # the file's own normaliser and pre-tokenizer cut the words; merging is done here
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+        # for printable ASCII this file's rules come to lower case and this pattern
+        self.ascii_cut = ASCII_WORDS if spec["pre_tokenizer"] == WORD_RULES and spec["normalizer"] == NORMAL_RULES else None
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         labels = {i: s for s, i in (vocab | self.special).items()}
         self.labels = np.array([labels.get(i, "") for i in range(max(labels) + 1)], dtype=object)
-        self.cache = ChunkCache()
+        self.cache = ChunkCache(200_000)
         self.words: dict[str, list[int]] = {}
 
     def _word(self, word: str) -> list[int]:
@@ -149,10 +162,12 @@ class WordBpe:
                 self.words.clear()
             symbols = [*word[:-1], word[-1] + self.end]
             # a symbol outside the vocabulary has no token, as in a file without one for unknowns
-            ids = self.words[word] = self.automaton.encode([self.base[s] for s in symbols if s in self.base])
+            ids = self.words[word] = self.automaton.encode([s for s in symbols if s in self.base])
         return ids
 
     def _plain(self, text: str) -> list[int]:
+        if self.ascii_cut and PRINTABLE.fullmatch(text):
+            return [i for word in self.ascii_cut.findall(text.lower()) for i in self._word(word)]
         norm = self.normalizer.normalize_str(text) if self.normalizer else text
         return [i for word, _ in self.pre_tokenizer.pre_tokenize_str(norm) for i in self._word(word)]
 
@@ -161,7 +176,7 @@ class WordBpe:
             ids = [i for c in cut if c for i in ([self.special[c]] if c in self.special else self._plain(c))]
         else:
             ids = self._plain(text)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lang_id, mixing, token_blocks, warc
+from . import bpe_automaton, exact_dedup, lang_id, mixing, token_blocks, warc
 from .shared import shared_dir
 
 
@@ -48,6 +48,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", lang_id.held_out(F.col("doc_id")).alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"))
 
 
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", bpe_automaton.round_trip(F.col("text"), _vocabulary("word_bpe_49k.json")).alias("r"))
+    return rows.select(
+        "doc_id", F.expr("cast(octet_length(r.ids) div 4 as bigint)").alias("n_tokens"), F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.decoded", 256).alias("decoded_sha256")
+    )
+
+
 OP7_SQL = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
@@ -57,7 +65,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id}
+    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:
