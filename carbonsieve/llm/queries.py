@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, token_blocks, warc
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, token_blocks, warc
 from .shared import shared_dir
 
 
@@ -34,6 +34,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.with_next(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.plan(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,7 +69,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:
