@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, token_blocks, warc
-from .shared import shared_dir
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, set_sketch, token_blocks, warc
+from .shared import shared_dir, small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,6 +22,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_set_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_sketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "tokens")
     token_blocks.write_tokens(_table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"), end_id=2)
@@ -69,7 +74,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

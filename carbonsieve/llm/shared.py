@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
+    """Python workers get texts in batches of about this size, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def byte_digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 bytes as 32 bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
@@ -87,3 +93,9 @@ def in_order(df: DataFrame, key: list[Column], ranges: int) -> DataFrame:
         .repartition(ranges, "_range")
         .sortWithinPartitions("_range", F.col("_ghost").desc(), "_key")
     )
+
+
+def small_side(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has at most so many rows;
+    beyond that Spark joins it by a shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
