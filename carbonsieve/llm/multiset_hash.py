@@ -134,9 +134,9 @@ def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
     for frame in frames:
         out = []
-        for number, ghost, doc_id, text in zip(frame["_range"], frame["_ghost"], frame["doc_id"], frame["text"], strict=True):
+        for number, side, doc_id, text in zip(frame["_range"], frame["_side"], frame["doc_id"], frame["text"], strict=True):
             own = fingerprint(text, hashes)
-            if not ghost:
+            if not side:
                 # rows come in ascending order of the key, so the row before is the next one
                 near_text, near = before if at == number and before is not None else (text, own)
                 edited = edit(text, near_text)
@@ -153,4 +153,4 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # ascending, nulls before all: the document that follows in descending order stands before
     key = [F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.sha2("text", 256)]
-    return in_order(rows, key, n).select("_range", "_ghost", "doc_id", "text").mapInPandas(_rows, SCHEMA)
+    return in_order(rows, key, n).select("_range", "_side", "doc_id", "text").mapInPandas(_rows, SCHEMA)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, set_sketch, token_blocks, warc
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, set_sketch, token_blocks, warc
 from .shared import shared_dir, small_batches
 
 
@@ -52,6 +52,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op8_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lang_id.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return rows.select("doc_id", lang_id.held_out(F.col("doc_id")).alias("held_out"), F.col("_lang.lang").alias("lang_pred"), F.col("_lang.score").alias("score"))
@@ -74,7 +78,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

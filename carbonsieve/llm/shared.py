@@ -54,18 +54,19 @@ def literal_like(value, dtype: str) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def in_order(df: DataFrame, key: list[Column], ranges: int) -> DataFrame:
+def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = False) -> DataFrame:
     """``df`` dealt out and sorted so that each partition holds whole consecutive ranges of
-    the global order by ``key`` and also, as a *ghost*, the row before each range.
+    the global order by ``key`` and also copies of the rows that stand beside each range.
 
-    Added columns: ``_range`` (number of the range), ``_key`` (struct of the key) and
-    ``_ghost`` (true for the copy of the row that precedes the range; the first range
-    gets the globally last row, so the order is a ring). A reader of one partition that
-    goes through it row by row thus sees the predecessor of every row.
+    Added columns: ``_range`` (number of the range), ``_key`` (struct of the key) and ``_side``:
+    0 for the rows themselves, -1 for a copy of the row before the range (the first range gets
+    the globally last row, so the order is a ring) and, with ``both_sides``, 1 for a copy of
+    the row after it. A reader that goes through a partition row by row thus sees the
+    neighbours of every row.
 
     The bounds of the ranges (``ranges`` small keys at most) are the only rows that reach the
     driver; they are literals afterwards, so a lost task is dealt the same rows again.
-    ``key`` must have no nulls. Of rows with an equal key that close a range, all are ghosts.
+    ``key`` must have no nulls. Of rows with an equal key at a bound, all are copied.
     """
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)]))
     kind = keyed.schema["_key"].dataType.simpleString()
@@ -73,26 +74,22 @@ def in_order(df: DataFrame, key: list[Column], ranges: int) -> DataFrame:
         keyed.select("_key")
         .repartitionByRange(ranges, "_key")
         .groupBy(F.spark_partition_id().alias("p"))
-        .agg(F.max("_key").alias("last"))
+        .agg(F.min("_key").alias("first"), F.max("_key").alias("last"))
         .orderBy("last")
         .collect()
     )
     if not ends:
-        return keyed.withColumns({"_range": F.lit(0), "_ghost": F.lit(False)})
-    lits = [F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(e["last"])]).cast(kind) for e in ends]
-    bounds = F.array(*lits)
+        return keyed.withColumns({"_range": F.lit(0), "_side": F.lit(0)})
+    array = lambda name: F.array(*[F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(e[name])]).cast(kind) for e in ends])
+    firsts, lasts = array("first"), array("last")
     # the range of a key: how many ranges end before it
-    at = F.size(F.filter(bounds, lambda b: b < F.col("_key")))
-    own = keyed.withColumns({"_range": at, "_ghost": F.lit(False)})
-    ghosts = (
-        keyed.where(F.array_contains(bounds, F.col("_key")))
-        .withColumns({"_range": (F.array_position(bounds, F.col("_key")) % len(ends)).cast("int"), "_ghost": F.lit(True)})
-    )
-    return (
-        own.unionByName(ghosts)
-        .repartition(ranges, "_range")
-        .sortWithinPartitions("_range", F.col("_ghost").desc(), "_key")
-    )
+    out = keyed.withColumns({"_range": F.size(F.filter(lasts, lambda b: b < F.col("_key"))), "_side": F.lit(0)})
+    before = keyed.where(F.array_contains(lasts, F.col("_key")))
+    out = out.unionByName(before.withColumns({"_range": (F.array_position(lasts, F.col("_key")) % len(ends)).cast("int"), "_side": F.lit(-1)}))
+    if both_sides:
+        after = keyed.where(F.array_contains(firsts, F.col("_key")) & (F.col("_key") > firsts[0]))
+        out = out.unionByName(after.withColumns({"_range": (F.array_position(firsts, F.col("_key")) - 2).cast("int"), "_side": F.lit(1)}))
+    return out.repartition(ranges, "_range").sortWithinPartitions("_range", "_side", "_key")
 
 
 def small_side(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
