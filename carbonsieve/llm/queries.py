@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, set_sketch, token_blocks, warc
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, set_sketch, token_blocks, warc, weak_pii
 from .shared import shared_dir, small_batches
 
 
@@ -39,6 +39,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return weak_pii.digest_columns(weak_pii.marked(docs, weak_pii.train(docs)))
+
+
 def op5_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.with_next(_table(spark, sf_dir, "documents"))
 
@@ -78,7 +83,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op4_weak_pii": op4_weak_pii, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:
