@@ -101,7 +101,7 @@ def float_text(v: Column) -> Column:
     wide = F.regexp_replace(F.when(F.abs(v) < 1e16, v).cast("decimal(38,10)").cast("string"), r"(\.\d+?)0+$", "$1")
     mantissa = F.regexp_replace(F.split_part(plain, F.lit("E"), F.lit(1)), r"\.0$", "")
     power = F.split_part(plain, F.lit("E"), F.lit(2)).try_cast("int")
-    exponent = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    exponent = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
     size = F.abs(v)
     return (
         F.when(F.isnan(v), "nan")

@@ -64,13 +64,14 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in self.ENDS:
             closes, within = self.ENDS[tag]
+            cut = len(self.open)
             for k in range(len(self.open) - 1, 0, -1):
                 name = self.open[k][0]
                 if name == within or name == "table":
                     break
                 if name in closes:
-                    del self.open[k:]
-                    break
+                    cut = k
+            del self.open[cut:]
         node = [tag, []]
         self.open[-1][1].append(node)
         if tag not in VOID:

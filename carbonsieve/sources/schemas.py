@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _struct(columns: str) -> T.StructType:
+    """A flat schema from "name type [not null], ..."; needs no running session."""
+    fields = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind], not rest) for name, kind, *rest in fields])
 
 
 COMPANIES = _struct(
@@ -46,11 +51,12 @@ DEFAULTS = {
     "runs": {"successful": 0, "failed": 0, "skipped": 0, "status": "running"},
 }
 
-REGISTRY_RECORD = _struct(
+#: nested schemas of JSON texts, as from_json takes them
+REGISTRY_RECORD = (
     "id string, attributes struct<entity: struct<legalName: struct<name: string>, legalAddress: struct<country: string>, headquartersAddress: struct<country: string>>>"
 )
-RANKING = _struct("ranked array<struct<index: int, score: int>>")
-EXTRACTION = _struct(
+RANKING = ("ranked array<struct<index: int, score: int>>")
+EXTRACTION = (
     "emissions array<struct<reporting_year: int, scope_1: double, scope_2_location: double, scope_2_market: double, scope_3: double, "
     "scope_3_categories: string, unit: string, boundary: string>>, methodology_notes string, confidence_score int"
 )
