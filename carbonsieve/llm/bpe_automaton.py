@@ -55,16 +55,25 @@ class MergeAutomaton:
 
     def __init__(self, base: dict[str, int], merges: list[tuple[int, int, int]], arcs_kept: int = 200_000):
         """``base``: symbols to ids; ``merges``: (u, v, w) ids in order of priority."""
-        self.size = size = max([*base.values(), *(w for _, _, w in merges), 0]) + 1
+        self.size = size = max([*base.values(), *(i for m in merges for i in m), 0]) + 1
         self.rank = [-2] * size  # when a token came: -1 base, -2 never
         self.left, self.right = [-1] * size, [-1] * size
         self.lost: dict[int, int] = {}  # (u, v): the gadget that takes v from the state of u
         self.spelt: list[tuple[str, ...]] = [()] * size
         for symbol, b in base.items():
             self.rank[b], self.spelt[b] = -1, (symbol,)
+        idle: set[int] = set()
+        self.merges = len(merges)
         for r, (u, v, w) in enumerate(merges):
+            if u in idle or v in idle:
+                idle.add(w)
+                continue
             if self.rank[u] == -2 or self.rank[v] == -2 or self.rank[w] != -2:
                 raise ValueError("merges must build each token once, from earlier ones")
+            if not self._compile(u, v):
+                # no word brings u and v together at this point, so there is no gadget
+                idle.add(w)
+                continue
             self.lost[u * size + v] = r
             self.rank[w], self.left[w], self.right[w] = r, u, v
             self.spelt[w] = self.spelt[u] + self.spelt[v]
@@ -85,7 +94,7 @@ class MergeAutomaton:
     def _compile(self, state: int, token: int) -> bool:
         """Whether the finished automaton has this arc: it has unless a gadget took it."""
         rank, lost, size = self.rank, self.lost, self.size
-        until = len(lost)
+        until = self.merges
         while True:
             if lost.get(state * size + token, until) < until:
                 return False
