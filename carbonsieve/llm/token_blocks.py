@@ -6,7 +6,7 @@ and what does not fit keeps its low bits in place and its high bits in an except
 footer has the start of every block and the id and length of every document, so a reader can
 go to any token without reading what lies before. Files are written and read through a Spark
 data source, ``token_blocks``: rows (doc_id, ids) in partition order, ids little-endian
-unsigned 32-bit integers.
+unsigned 32-bit integers, or rows (doc_id, text) with a tokenizer to encode them by.
 
 Rules for odd input: a null text is encoded as the empty text; null ids of documents come
 last and are kept as null; rows with the same id are all written, ordered by their text; an
@@ -16,6 +16,7 @@ empty table gives a set without files. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -181,12 +182,25 @@ class TokenBlocks(DataSource):
         return TokenBlockReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool):
-        return TokenBlockWriter(self.options["path"])
+        return TokenBlockWriter(self.options["path"], self.options.get("tokenizer"), int(self.options.get("endId", 2)))
 
 
 class TokenBlockWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str):
-        self.folder = folder
+    """Rows have ids, or a text that is encoded as it is written."""
+
+    def __init__(self, folder: str, tokenizer: str | None = None, end_id: int = 2):
+        self.folder, self.tokenizer, self.end = folder, tokenizer, struct.pack("<I", end_id)
+
+    def _documents(self, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        if self.tokenizer is None:
+            yield from zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True)
+            return
+        for k in range(0, batch.num_rows, 256):
+            part = batch.slice(k, 256)
+            texts = ["" if t is None else t for t in part.column("text").to_pylist()]
+            encoder = encoder_of(self.tokenizer)
+            ids = (x + self.end for run in slices(texts) for x in encoder.encode(run))
+            yield from zip(part.column("doc_id").to_pylist(), ids, strict=True)
 
     def write(self, batches):
         path = files.fresh_file(self.folder, ".tok")
@@ -194,8 +208,8 @@ class TokenBlockWriter(DataSourceArrowWriter):
         with fs.open_output_stream(at, compression=None) as out:
             writer = BlockFileWriter(out)
             for batch in batches:
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                    writer.add(doc_id, np.frombuffer(ids.as_buffer() or b"", "<u4"))
+                for doc_id, ids in self._documents(batch):
+                    writer.add(doc_id, np.frombuffer(ids or b"", "<u4"))
             writer.close()
         return files.Written(TaskContext.get().partitionId(), path, len(writer.ids), writer.total)
 
@@ -264,12 +278,18 @@ class ChunkCache:
         self.new[c] = v
 
 
+#: white space beside a space or line feed, or either at the end
+WIDE_GAP = re.compile(r" \s| \Z|\n[^\S ]|\n\Z|\n \Z")
+#: a word of Latin letters and the marks after it (no apostrophe, which may start a piece)
+MARKED = re.compile(r"([^\n]*[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)")
+
+
 class ByteLevelEncoder:
     """Encodes with a byte-level vocabulary of the tokenizers library.
 
-    Its pre-tokenizer never lets a piece run on over a single space that stands between other
-    characters, so such texts are cut there and each distinct chunk goes through the library
-    once. Texts with wider gaps or with a special token in them go through it as a whole.
+    Its pre-tokenizer never lets a piece run on over a single space or line feed that stands
+    between other characters, so such texts are cut there and each distinct chunk goes through
+    the library once. Texts with wider gaps or a special token go through it as a whole.
     """
 
     def __init__(self, path: str):
@@ -280,27 +300,61 @@ class ByteLevelEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = ChunkCache()
+        self.divider = self.tokenizer.token_to_id(self.special[0]) if self.special else None
+        self.cache = ChunkCache(450_000)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Texts without special tokens, many at a time: the library encodes what stands
+        between special tokens by itself, so one of these divides them."""
+        if not self.special:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for i in range(0, len(texts), 4096):
+            part = texts[i : i + 4096]
+            ids = np.array(self._whole(self.special[0].join(part)), "<u4")
+            cuts = np.flatnonzero(ids == self.divider)
+            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+            data = ids.tobytes()
+            out += [data[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+        return out
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _chunks(self, text: str) -> list[str] | None:
-        if any(s in text for s in self.special):
+        if WIDE_GAP.search(text) or any(s in text for s in self.special):
             return None
-        first, *rest = text.split(" ")
-        chunks = [first] * bool(first) + [" " + r for r in rest]
-        return None if any(c.isspace() for c in chunks) else chunks
+        out: list[str] = []
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append("\n")
+            first, *rest = line.split(" ")
+            if first:
+                out.append(first)
+            out += [" " + r for r in rest]
+        return out
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Unseen chunks: a word and the marks after it are pieces of their own."""
+        cut = [(m[1], m[2]) if (m := MARKED.fullmatch(c)) else (c,) for c in chunks]
+        plain = [c[0] for c in cut if len(c) == 1]
+        known = dict(zip(plain, self._encode(plain), strict=True)) if plain else {}
+        parts = self.cache.look_up([x for c in cut if len(c) == 2 for x in c], self._encode)
+        return [known[c[0]] if len(c) == 1 else parts[c[0]] + parts[c[1]] for c in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._chunks(t) for t in texts]
-        known = self.cache.look_up([c for cs in cut if cs for c in cs], self._encode)
-        return [b"".join([known[c] for c in cs]) if cs is not None else self._encode([t])[0] for t, cs in zip(texts, cut, strict=True)]
+        known = self.cache.look_up([c for cs in cut if cs for c in cs], self._encode_chunks)
+        return [b"".join([known[c] for c in cs]) if cs is not None else np.array(self._whole(t), "<u4").tobytes() for t, cs in zip(texts, cut, strict=True)]
 
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
 
 
+def encoder_of(path: str) -> ByteLevelEncoder:
+    return _ENCODERS.get(path) or _ENCODERS.setdefault(path, ByteLevelEncoder(path))
+
+
 def slices(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
     """Runs of texts of about ``limit`` characters."""
     run, held = [], 0
@@ -320,7 +374,7 @@ def encoded(text: Column, tokenizer_path: str, end_id: int) -> Column:
 
     @pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _ENCODERS.get(tokenizer_path) or _ENCODERS.setdefault(tokenizer_path, ByteLevelEncoder(tokenizer_path))
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             out = [x + end for run in slices(["" if t is None else t for t in batch]) for x in encoder.encode(run)]
             yield pd.Series(out, dtype=object)
@@ -334,7 +388,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: i
     order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
     rows = rows.repartitionByRange(*order[:1]).sortWithinPartitions(*order)
     docs.sparkSession.dataSource.register(TokenBlocks)
-    rows.select("doc_id", encoded(F.col("text"), tokenizer_path, end_id).alias("ids")).write.format("token_blocks").mode("append").save(folder)
+    rows.write.format("token_blocks").option("tokenizer", tokenizer_path).option("endId", end_id).mode("append").save(folder)
 
 
 def read_tokens(spark, folder: str) -> DataFrame:
