@@ -28,6 +28,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def partial_components(edges: DataFrame) -> DataFrame:
+    """node, component for nodes that have a link, after a single contraction: nodes with the
+    same component are connected, but connected nodes may still differ. ``edges``: a, b."""
+    both = _star(_star(edges.where("a <> b").distinct(), large=True), large=False)
+    return written(both.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component"), "components")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """node, component (least node reachable) for every node that has a link; links are taken
     both ways; links of a node to itself and null ends are ignored."""

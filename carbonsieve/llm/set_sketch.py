@@ -10,9 +10,11 @@ rest is confirmed on the full sets.
 
 Groups of copies do not give all pairs. Texts with the same set are one node. In each band's
 bucket every node is first paired with the least node only, and the confirmed links are joined
-to components. Then only buckets that still hold several components are taken up again, and
-there exactly the pairs across components that could not be ruled out by their sizes and by one
-bit per register are confirmed as well, so no link is lost to the first step's economy.
+to components. Buckets that still hold several components are taken up again: a few times with
+another hub, drawn by hash, for the members outside its component, and at last for everything
+across components: in small buckets by the pairs that sizes and one bit per register do not rule
+out, in large ones by looking the members outside the largest component up in indexed blocks of
+the bucket. So no link between components is lost to the economy of the first steps.
 
 Rules for odd input: a null or empty text has the empty set and is linked with nothing; a text
 with fewer words than a shingle is one shingle of all its words; rows with the same id are one
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .components import components
+from .components import components, partial_components
 from .multiset_hash import MIX, WordHashes, mixed
 from .shared import small_side, written
 
@@ -39,6 +41,11 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: the scale of the registers: base, rate, and the largest value before truncation
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 2
+#: so often another hub is tried in a bucket before pairs are
+HUB_TURNS = 1
+#: buckets of up to so many members are settled by pairs, larger ones by blocks of so many
+#: indexed members and so many looked up at a time
+PAIRED, BLOCK, PROBES = 64, 256, 512
 #: a pair goes when its overlap is below the threshold with this log-likelihood ratio
 SURE = 16.0
 
@@ -178,31 +185,42 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
 
     part = 2 * ROWS
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("registers"), k * part + 1, part)) for k in range(BANDS)])
-    keys = nodes.select("node", F.explode(bands).alias("key"))
+    keys = nodes.select("node", F.posexplode(bands).alias("band", "key"))
     buckets = written(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub"), "buckets")
     met = written(keys.join(buckets, "key"), "bucket-members")
 
     stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(stars, texts, sketches, shingle, percent)
-    found = written(components(links), "components")
-
-    # buckets in which several components are left
-    placed = met.join(found, "node", "left").select("key", "node", "hub", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
-    bits = sketches.select("node", "n", *_bit_signature(F.col("registers")))
-    left = written(placed.join(split, "key", "left_semi").where("node <> hub").join(bits, "node"), "open-buckets")
-    x, y = left.alias("x"), left.alias("y")
-    across = x.join(
-        y,
+    found = partial_components(links)
+
+    # buckets in which several components are left: each time another hub is tried
+    for turn in range(HUB_TURNS):
+        placed = _placed(met, found)
+        draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
+        several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(draw).alias("hub")).where("c0 < c1")
+        tried = placed.join(several.select("key", F.col("hub.node").alias("other"), F.col("hub.component").alias("other_component")), "key").where("component <> other_component")
+        more = tried.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        links = links.unionByName(_links(more, texts, sketches, shingle, percent))
+        found = partial_components(links)
+
+    # and then everything across components: pairs in small buckets, blocks in large ones
+    placed = _placed(met, found)
+    several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).where("c0 < c1").select("key", "size")
+    left = written(placed.join(several, "key"), "open-buckets")
+    about = sketches.select("node", "n", *_bit_signature(F.col("registers")), bands.alias("keys"))
+    small = left.where(F.col("size") <= PAIRED).join(about, "node")
+    across = small.alias("x").join(
+        small.alias("y"),
         F.expr(
             "x.key = y.key and x.component < y.component"
             f" and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
             f" and bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= {_most_bits(percent)}"
         ),
     )
-    more = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links2 = _links(more, texts, sketches, shingle, percent)
-    final = written(components(links.unionByName(links2)), "components")
+    rest = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    links = links.unionByName(_links(rest, texts, sketches, shingle, percent))
+    links = links.unionByName(_block_links(left.where(F.col("size") > PAIRED), texts, shingle, percent))
+    final = written(components(links), "components")
 
     home = nodes.select("digest", F.col("n").alias("n_of"), "node").join(final, "node", "left").select("digest", "n_of", F.coalesce("component", "node").alias("component_id"))
     out = sketched.select("doc_id", "n", "digest").join(home, (F.col("n") == F.col("n_of")) & (sketched["digest"] == home["digest"]), "left")
@@ -210,6 +228,56 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
+def _block_links(left: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links across components in large buckets, on full sets and without forming pairs.
+
+    A bucket is cut into blocks of about ``BLOCK`` members, whose sets are indexed by shingle.
+    The members outside of the bucket's largest component are looked up in every block, about
+    ``PROBES`` at a time, so a group holds a bounded number of texts whatever the bucket."""
+    sizes = left.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("size"))
+    plan = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), (F.max("size") - F.max("c")).alias("outside"), F.max("size").alias("all"))
+    plan = plan.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("outside") / PROBES).cast("int").alias("turns"))
+    rows = written(left.select("key", "node", "component").join(plan, "key"), "large-buckets")
+    share = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    indexed = rows.select("key", "node", "component", F.lit(False).alias("probe"), share("blocks", 1).alias("block"), every("turns").alias("turn"))
+    probes = rows.where("component <> main").select("key", "node", "component", F.lit(True).alias("probe"), share("turns", 2).alias("turn"), every("blocks").alias("block"))
+    wanted = written(rows.select("node").distinct(), "block-nodes")
+    held = written(texts.join(small_side(wanted), "node"), "block-texts")
+    work = indexed.unionByName(probes).join(held, "node")
+
+    def linked(group: pd.DataFrame) -> pd.DataFrame:
+        hashes = WordHashes()
+        sets = {t: shingle_set(t, size, hashes) for t in set(group["text"].fillna(""))}
+        rows = list(zip(group["node"], group["component"], group["probe"], group["text"].fillna(""), strict=True))
+        index = [r for r in rows if not r[2]]
+        out = []
+        if index:
+            lengths = np.array([len(sets[r[3]]) for r in index])
+            flat, owner = np.concatenate([sets[r[3]] for r in index]), np.repeat(np.arange(len(index)), lengths)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for node, component, probe, text, *_ in rows:
+                if not probe:
+                    continue
+                mine = sets[text]
+                lo, hi = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(index))
+                near = np.flatnonzero((both > 0) & (100 * both >= percent * (len(mine) + lengths - both)))
+                out += [(min(node, index[k][0]), max(node, index[k][0])) for k in near.tolist() if index[k][1] != component]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    found = work.groupBy("key", "block", "turn").applyInPandas(linked, "a long, b long")
+    return written(found.distinct(), "block-links")
+
+
+def _placed(met: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets with the component that each is in so far."""
+    return met.join(found, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
+
+
 def _bit_signature(registers: Column) -> list[Column]:
     """One hashed bit of each register, as two longs."""
     halves = []

@@ -298,6 +298,25 @@ def test_chains_across_a_bucket_keep_every_link(spark):
     assert got == {71}
 
 
+def test_blocks_of_large_buckets_find_what_pairs_find(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(60)] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, set_sketch.near_duplicates(df, shingle=2).collect()))
+    for name, value in (("PAIRED", 1), ("BLOCK", 4), ("PROBES", 3)):
+        monkeypatch.setattr(set_sketch, name, value)
+    assert sorted(map(tuple, set_sketch.near_duplicates(df, shingle=2).collect())) == want
+    sets = {i: shingles(t, 2) for i, t in rows}
+    linked = {i for i in sets for j in sets if i != j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert {r[0] for r in want if r[2] != r[0]} <= linked and len({r[2] for r in want}) > 1
+
+
 def test_sketches_estimate_overlap_and_merge():
     rng = np.random.default_rng(3)
     s = set_sketch.Sketcher()
