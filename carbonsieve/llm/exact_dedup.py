@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import byte_digest, shared_dir
+from .shared import byte_digest, shared_dir, small_side, written
 
 RUN_SCHEMA = "digest binary, id long, n long"
 
@@ -73,19 +73,18 @@ class DigestIndex:
         return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/level-{self.level}")
 
 
-def _with_index(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """doc_id, text, digest, keep_id, group_size for every row."""
-    rows = docs.withColumn("digest", index.digest(F.col("text")))
-    return rows.join(index.entries().select("digest", F.col("id").alias("keep_id"), F.col("n").alias("group_size")), "digest")
+def _collisions(rows: DataFrame, index: DigestIndex) -> DataFrame:
+    """Digests under which a hit differs in its bytes from the row that stays.
 
-
-def _collisions(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """Digests under which a hit differs in its bytes from the row that stays."""
-    rows = _with_index(docs, index).where("group_size > 1")
-    staying = rows.where("doc_id <=> keep_id").select("digest", F.col("text").alias("kept_text"))
-    # repeated rows of the staying document: any text of them serves for the comparison
-    staying = staying.groupBy("digest").agg(F.max("kept_text").alias("kept_text"))
-    hits = rows.select("digest", "text")
+    Only texts of groups of two or more are moved. The row that stays is found by digest and
+    id, so a large group does not meet in one task; its text then joins the hits by a plain
+    join on the digest, which Spark splits where one digest is frequent."""
+    groups = small_side(written(index.entries().where("n > 1").select("digest", "id"), "digest-groups"))
+    keyed = rows.withColumn("digest", index.digest(F.col("text")))
+    staying = keyed.join(groups.select(F.col("digest").alias("d"), "id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    # rows that repeat the staying document agree with it or are hits themselves
+    staying = staying.groupBy("digest").agg(F.max("text").alias("kept_text"))
+    hits = keyed.join(groups.select("digest"), "digest", "left_semi").select("digest", "text")
     return hits.join(staying, "digest").where("text <> kept_text").select("digest").distinct()
 
 
@@ -124,6 +123,6 @@ def duplicates(
 
 def drop_duplicates(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = duplicates(docs, keep=keep, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone"), "text_sha256").distinct()
-    row_sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    return docs.join(gone, (F.col(id_col).eqNullSafe(F.col("_gone"))) & (row_sha == F.col("text_sha256")), "left_anti")
+    gone = duplicates(docs, keep=keep, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_sha")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("_gone")) & (byte_digest(F.col(text_col)) == F.col("_sha"))
+    return docs.join(small_side(written(gone, "copies")), same, "left_anti")

@@ -92,7 +92,7 @@ def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = F
     return out.repartition(ranges, "_range").sortWithinPartitions("_range", "_side", "_key")
 
 
-def small_side(table: DataFrame, rows: int = 1_000_000) -> DataFrame:
+def small_side(table: DataFrame, rows: int = 500_000) -> DataFrame:
     """A written table of narrow rows, marked for broadcast if it has at most so many rows;
     beyond that Spark joins it by a shuffle."""
     return F.broadcast(table) if table.count() <= rows else table
