@@ -5,8 +5,8 @@ n-gram of those words, as DataFrame aggregations. Scoring adds, word by word, th
 of the word's share in each language; a word that the model lacks is scored by the n-grams of
 the greatest length at which the model knows any, the shorter ones after the longer ones.
 
-The model is bounded: per order it keeps the ``max_words`` (for n-grams: ``max_grams``) most
-frequent entries over all languages, so it can be broadcast whatever the size of the corpus;
+The model is bounded: per order it keeps the most frequent entries over all languages, at most
+``max_words`` (for n-grams: ``max_grams``), so it can be broadcast whatever the corpus' size;
 the counts behind it cover all training rows, and what it drops is scored by the backoff.
 
 Rules for odd input: rows without text or language train nothing; a text that is null or has
@@ -84,10 +84,19 @@ def gram_counts(words: DataFrame) -> DataFrame:
 
 
 def _top(counts: DataFrame, key: str, limit: int) -> list:
-    """The ``limit`` most frequent keys over all languages, with their counts per language.
-    Ordering with a limit keeps ``limit`` rows per task, and only that many reach the driver."""
-    per_lang = counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    return per_lang.orderBy(F.col("total").desc(), F.col(key)).limit(limit).collect()
+    """The most frequent keys over all languages with their counts per language: as many whole
+    classes of frequency (4 % wide) as fit into ``limit``. The classes are counted first, so
+    no more than ``limit`` rows reach the driver from all tasks together."""
+    from .shared import written
+
+    per_key = counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    per_key = written(per_key.withColumn("class", F.floor(F.log2("total") * 16).cast("int")), "lang-entries")
+    room, least = limit, None
+    for r in sorted(per_key.groupBy("class").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["class"]):
+        if r["n"] > room:
+            break
+        room, least = room - r["n"], r["class"]
+    return [] if least is None else sorted(per_key.where(F.col("class") >= least).select(key, "by").collect(), key=lambda r: r[key])
 
 
 def train(
