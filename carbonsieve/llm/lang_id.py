@@ -83,20 +83,25 @@ def gram_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def _top(counts: DataFrame, key: str, limit: int) -> list:
-    """The most frequent keys over all languages with their counts per language: as many whole
-    classes of frequency (4 % wide) as fit into ``limit``. The classes are counted first, so
-    no more than ``limit`` rows reach the driver from all tasks together."""
+def _top(counts: DataFrame, key: str, limit: int, langs: list[str]) -> Table:
+    """The most frequent keys over all languages with their log shares per language: as many
+    whole classes of frequency (4 % wide) as fit into ``limit``. The classes are counted first,
+    so no more than ``limit`` flat rows reach the driver from all tasks together."""
     from .shared import written
 
-    per_key = counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
+    per_key = counts.groupBy(F.col(key).alias("entry")).agg(F.sum("n").alias("total"), *own)
     per_key = written(per_key.withColumn("class", F.floor(F.log2("total") * 16).cast("int")), "lang-entries")
     room, least = limit, None
     for r in sorted(per_key.groupBy("class").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["class"]):
         if r["n"] > room:
             break
         room, least = room - r["n"], r["class"]
-    return [] if least is None else sorted(per_key.where(F.col("class") >= least).select(key, "by").collect(), key=lambda r: r[key])
+    kept = per_key.where(F.col("class") >= least if least is not None else F.lit(False)).drop("total", "class").toArrow().sort_by("entry")
+    n = np.column_stack([np.asarray(kept[f"n{i}"], dtype=np.float64) for i in range(len(langs))]) if langs else np.zeros((0, 0))
+    # half a count for what a language has not shown
+    shares = (n + 0.5) / (n.sum(axis=0) + 0.5 * (len(n) + 1))
+    return Table({e: i for i, e in enumerate(kept["entry"].to_pylist())}, np.log(shares).astype(np.float32))
 
 
 def train(
@@ -106,20 +111,9 @@ def train(
 
     counts = written(word_counts(docs, text_col, lang_col), "lang-words") if counts is None else counts
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    at = {lang: i for i, lang in enumerate(langs)}
-
-    def table(rows: list, key: str) -> Table:
-        n = np.zeros((len(rows), len(langs)))
-        for i, r in enumerate(rows):
-            for x in r["by"]:
-                n[i, at[x["lang"]]] = x["n"]
-        # half a count for what a language has not shown
-        shares = (n + 0.5) / (n.sum(axis=0) + 0.5 * (len(rows) + 1))
-        return Table({r[key]: i for i, r in enumerate(rows)}, np.log(shares).astype(np.float32))
-
     pieces = written(gram_counts(counts), "lang-grams")
-    words = table(_top(counts.where(F.length("word") <= LONGEST_WORD), "word", max_words), "word")
-    return Model(langs, words, {k: table(_top(pieces.where(F.col("size") == k), "gram", max_grams), "gram") for k in ORDERS})
+    words = _top(counts.where(F.length("word") <= LONGEST_WORD), "word", max_words, langs)
+    return Model(langs, words, {k: _top(pieces.where(F.col("size") == k), "gram", max_grams, langs) for k in ORDERS})
 
 
 class Scorer:
