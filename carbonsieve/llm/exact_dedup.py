@@ -83,7 +83,7 @@ def _collisions(rows: DataFrame, index: DigestIndex) -> DataFrame:
     keyed = rows.withColumn("digest", index.digest(F.col("text")))
     staying = keyed.join(groups.select(F.col("digest").alias("d"), "id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")))
     # rows that repeat the staying document agree with it or are hits themselves
-    staying = staying.groupBy("digest").agg(F.max("text").alias("kept_text"))
+    staying = written(staying.groupBy("digest").agg(F.max("text").alias("kept_text")), "digest-staying")
     hits = keyed.join(groups.select("digest"), "digest", "left_semi").select("digest", "text")
     return hits.join(staying, "digest").where("text <> kept_text").select("digest").distinct()
 
