@@ -24,10 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language (without a letter) go; a model is trained on those labelled.
     Without any label nothing can be told, and all documents with a letter stay."""
     small_batches(spark)
-    model = lang_id.train(lang_id.training_rows(docs))
-    if not model.langs:
+    trained = lang_id.train(lang_id.training_rows(docs))
+    if not trained.model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return docs.where(lang_id.predicted(spark, F.col("text"), model)["lang"] != lang_id.UND)
+    return lang_id.in_a_language(docs, trained)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

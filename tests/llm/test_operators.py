@@ -389,6 +389,56 @@ def test_language(spark, none):
     assert lang_id.identify(none).count() == 0
 
 
+def test_language_counts_words_outside_the_broadcast_ones(spark):
+    """However few words are broadcast, every trained word and n-gram counts, and shares are of
+    all that a language trained; held against plain counts."""
+    rng = random.Random(19)
+    letters = {"de": "abcdeü", "en": "bcdefgh", "es": "cdefñoi"}
+    words = {x: ["".join(rng.choice(s) for _ in range(rng.randrange(1, 8))) for _ in range(300)] + [s * 5] for x, s in letters.items()}
+    langs = [rng.choice(["en", "en", "en", "de", "es"]) for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(words[x]) for _ in range(rng.randrange(1, 12))), x) for i, x in enumerate(langs)]
+    rows += [(500 + i, t, None) for i, t in enumerate([None, "12 !", "ж", "ж ü", "zzzz", *[rows[3][1]] * 3])] + [(3, rows[3][1], rows[3][2])]
+
+    total = {k: defaultdict(lambda: defaultdict(int)) for k in (0, 4, 3, 2, 1)}
+    for i, t, x in rows:
+        if x and zlib.crc32(str(i).encode()) % 4 != 2:
+            for w in re.findall(r"[^\W\d_]+", t.lower()):
+                total[0][w][x] += 1
+                for k in (4, 3, 2, 1):
+                    p = f" {w} "
+                    for j in range(max(len(p) - k + 1, 1)):
+                        total[k][p[j : j + k]][x] += 1
+    sums = {k: {x: sum(n[x] for n in t.values()) + 0.5 * (len(t) + 1) for x in sorted(words)} for k, t in total.items()}
+    share = lambda k, e: np.array([np.log((total[k][e].get(x, 0) + 0.5) / s) for x, s in sums[k].items()])
+
+    def plain(t):
+        found = re.findall(r"[^\W\d_]+", (t or "").lower())
+        score = np.zeros(3)
+        for w in found:
+            p = f" {w} "
+            if w in total[0]:
+                score += share(0, w)
+                continue
+            for k in (4, 3, 2, 1):
+                if pieces := [p[j : j + k] for j in range(len(p) - k + 1) if p[j : j + k] in total[k]]:
+                    score += np.mean([share(k, e) for e in pieces], axis=0)
+                    break
+        return (sorted(words)[int(score.argmax())], 1 / np.exp(score - score.max()).sum()) if found else ("und", 0.0)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for limits in ({"max_words": 10, "max_grams": 3}, {"max_words": 0, "max_grams": 0}, {"max_words": 10**6, "max_grams": 3}, {}):
+        out = lang_id.identify(df, **limits).collect()
+        assert sorted(r["doc_id"] for r in out) == sorted(r[0] for r in rows)
+        for r in out:
+            x, score = plain(r["text"])
+            assert r["_lang"]["score"] == pytest.approx(score, abs=1e-3)
+            assert r["_lang"]["lang"] == x or 0 < score < 0.51
+    trained = lang_id.train(lang_id.training_rows(df), max_words=10, max_grams=3)
+    assert len(trained.model.words.keys) <= 10
+    left = {r["doc_id"] for r in lang_id.in_a_language(df, trained).collect()}
+    assert left == {r[0] for r in rows} - {500, 501}
+
+
 def test_language_backs_off_to_shorter_grams():
     table = lambda d: lang_id.Table({k: i for i, k in enumerate(d)}, np.array(list(d.values()) or [[0, 0]], np.float32))
     m = lang_id.Model(["a", "b"], table({"known": [0, -9]}), {4: table({"abcd": [-9, 0]}), 3: table({"xyz": [0, -9]}), 2: table({}), 1: table({})})
