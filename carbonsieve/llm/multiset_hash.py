@@ -5,7 +5,7 @@ lane modulo a power of two. So the order of paragraphs does not matter, and para
 put in or taken out by adding or subtracting their vectors. The vector has two parts:
 
 * 32 lanes modulo 2**32 of a cryptographic hash of the paragraph, for equality;
-* 512 lanes modulo 2**16, in which each run of three words of the paragraph adds or takes one
+* 512 lanes modulo 2**32, in which each run of three words of the paragraph adds or takes one
   in a lane of its hash, for likeness: the squared length of the difference of two such
   vectors estimates how many runs the texts do not share.
 
@@ -65,7 +65,7 @@ class Fingerprint:
 
     def __init__(self, equal: np.ndarray | None = None, like: np.ndarray | None = None):
         self.equal = np.zeros(EQUAL_LANES, np.uint32) if equal is None else equal
-        self.like = np.zeros(LIKE_LANES, np.uint16) if like is None else like
+        self.like = np.zeros(LIKE_LANES, np.uint32) if like is None else like
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.equal + other.equal, self.like + other.like)
@@ -74,16 +74,16 @@ class Fingerprint:
         return Fingerprint(self.equal - other.equal, self.like - other.like)
 
     def text(self) -> str:
-        return base64.b64encode(self.equal.astype("<u4").tobytes() + self.like.astype("<u2").tobytes()).decode()
+        return base64.b64encode(self.equal.astype("<u4").tobytes() + self.like.astype("<u4").tobytes()).decode()
 
     @classmethod
     def read(cls, text: str) -> Fingerprint:
         data = base64.b64decode(text)
-        return cls(np.frombuffer(data, "<u4", EQUAL_LANES).copy(), np.frombuffer(data, "<u2", LIKE_LANES, 4 * EQUAL_LANES).copy())
+        return cls(np.frombuffer(data, "<u4", EQUAL_LANES).copy(), np.frombuffer(data, "<u4", LIKE_LANES, 4 * EQUAL_LANES).copy())
 
     def likeness(self, other: Fingerprint) -> float:
-        a, b = self.like.view(np.int16).astype(np.float64), other.like.view(np.int16).astype(np.float64)
-        apart = (self.like - other.like).view(np.int16).astype(np.float64)
+        a, b = self.like.view(np.int32).astype(np.float64), other.like.view(np.int32).astype(np.float64)
+        apart = (self.like - other.like).view(np.int32).astype(np.float64)
         whole = a @ a + b @ b
         if not whole:
             return float(np.array_equal(self.equal, other.equal))
@@ -113,7 +113,7 @@ def paragraph_vectors(paragraphs: list[str], hashes: WordHashes) -> Fingerprint:
     lane = (run % np.uint64(LIKE_LANES)).astype(np.int64)
     sign = ((run >> np.uint64(40)) & np.uint64(1)).astype(bool)
     like = np.bincount(lane[sign], minlength=LIKE_LANES) - np.bincount(lane[~sign], minlength=LIKE_LANES)
-    return Fingerprint(equal, like.astype(np.int64).astype(np.uint16))
+    return Fingerprint(equal, like.astype(np.int64).astype(np.uint32))
 
 
 def fingerprint(text: str, hashes: WordHashes) -> Fingerprint:

@@ -260,6 +260,15 @@ def test_fingerprints_do_not_depend_on_order_and_can_be_edited():
     assert multiset_hash.Fingerprint.read(of("x y z").text()).text() == of("x y z").text()
 
 
+@pytest.mark.parametrize("n", [100, 50_000, 65_536, 140_000])
+def test_likeness_of_runs_repeated_often(n):
+    """The edited third holds a run that the text has not: squares of 2 n n apart in 14 n n."""
+    hashes = multiset_hash.WordHashes()
+    whole, edited = (multiset_hash.fingerprint(t, hashes) for t in ("a b c\n" * (3 * n), "a b c\n" * (2 * n) + "d e f\n" * n))
+    assert multiset_hash.Fingerprint.read(whole.text()).likeness(edited) == pytest.approx(6 / 7, abs=1e-4)
+    assert np.array_equal((whole - edited + edited).like, whole.like)
+
+
 def shingles(t, k):
     w = (t or "").encode().lower().split()
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
