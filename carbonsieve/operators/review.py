@@ -127,5 +127,6 @@ def apply_decisions(records: DataFrame, decisions: DataFrame, reviewer: str = "r
     ).select(*records.columns)
 
 
-def latest_run(runs: DataFrame) -> DataFrame:
-    return runs.orderBy(F.col("started_at").desc_nulls_first()).limit(1)
+def latest_run(runs: DataFrame, *ties: str) -> DataFrame:
+    """The run that started last; of equal starts the one with the largest ``ties``."""
+    return runs.orderBy(F.col("started_at").desc_nulls_first(), *[F.col(c).desc() for c in ties]).limit(1)

@@ -74,3 +74,19 @@ def test_account(spark):
 def test_latest_run(spark):
     df = spark.createDataFrame([(1, T[0]), (2, T[2]), (3, T[1])], "id long, started_at timestamp_ntz")
     assert review.latest_run(df).first()["id"] == 2
+
+
+def test_latest_run_of_equal_starts(spark):
+    df = spark.createDataFrame([(1, T[2], 5), (2, T[2], 9), (3, T[2], 7), (4, T[1], 10)], "id long, started_at timestamp_ntz, key long")
+    assert review.latest_run(df, "key").first()["id"] == 2
+
+
+def test_latest_run_is_taken_from_all_orders(spark, tmp_path, monkeypatch):
+    from carbonsieve.plans import catalog
+
+    rows = [(1, 10, datetime(1998, 3, 1)), (2, 20, datetime(1998, 8, 2)), (3, 30, datetime(1998, 8, 2)), (4, 40, datetime(1995, 1, 1))]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    seen, whole = [], review.latest_run
+    monkeypatch.setattr(review, "latest_run", lambda df, *ties: seen.append(df.count()) or whole(df, *ties))
+    assert [r["id"] for r in catalog.queries()["latest_run"](spark, str(tmp_path)).collect()] == [30]
+    assert seen == [4]
