@@ -15,21 +15,21 @@ empty table gives a set without files. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader
-from pyspark.sql.functions import pandas_udf
 
 from . import files
+from .pieces import PieceCache, by_kind, encode_pieces, flat_ids, text_runs
 
 MAGIC = b"PFORTOK1"
 BLOCK = 4096
@@ -189,18 +189,20 @@ class TokenBlockWriter(DataSourceArrowWriter):
     """Rows have ids, or a text that is encoded as it is written."""
 
     def __init__(self, folder: str, tokenizer: str | None = None, end_id: int = 2):
-        self.folder, self.tokenizer, self.end = folder, tokenizer, struct.pack("<I", end_id)
+        self.folder, self.tokenizer, self.end = folder, tokenizer, np.array([end_id], "<u4")
 
-    def _documents(self, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+    def _documents(self, batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
         if self.tokenizer is None:
-            yield from zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                yield doc_id, np.frombuffer(ids or b"", "<u4")
             return
-        for k in range(0, batch.num_rows, 256):
-            part = batch.slice(k, 256)
-            texts = ["" if t is None else t for t in part.column("text").to_pylist()]
-            encoder = encoder_of(self.tokenizer)
-            ids = (x + self.end for run in slices(texts) for x in encoder.encode(run))
-            yield from zip(part.column("doc_id").to_pylist(), ids, strict=True)
+        encoder, ids_of = encoder_of(self.tokenizer), batch.column("doc_id").to_pylist()
+        at = 0
+        for run in text_runs(batch.column("text")):
+            flat, bounds = flat_ids(encoder.encode_array(run))
+            for doc_id, a, b in zip(ids_of[at : at + len(run)], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield doc_id, np.concatenate([flat[a:b], self.end])
+            at += len(run)
 
     def write(self, batches):
         path = files.fresh_file(self.folder, ".tok")
@@ -209,7 +211,7 @@ class TokenBlockWriter(DataSourceArrowWriter):
             writer = BlockFileWriter(out)
             for batch in batches:
                 for doc_id, ids in self._documents(batch):
-                    writer.add(doc_id, np.frombuffer(ids or b"", "<u4"))
+                    writer.add(doc_id, ids)
             writer.close()
         return files.Written(TaskContext.get().partitionId(), path, len(writer.ids), writer.total)
 
@@ -247,105 +249,76 @@ class TokenBlockReader(DataSourceReader):
 # ---- encoding -----------------------------------------------------------------------------
 
 
-class ChunkCache:
-    """What pieces of text encode to, in two generations of bounded size: when the newer is
-    full it becomes the older, and what the older held and nobody asked for again is gone."""
-
-    def __init__(self, limit: int = 150_000, longest: int = 64):
-        self.limit, self.longest = limit, longest
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def look_up(self, chunks: list[str], encode) -> dict[str, bytes]:
-        """All of ``chunks``; ``encode`` maps a list of unseen ones to their bytes."""
-        found, missing = {}, []
-        for c in set(chunks):
-            if (v := self.new.get(c)) is None and (v := self.old.get(c)) is not None:
-                self._keep(c, v)
-            if v is None:
-                missing.append(c)
-            else:
-                found[c] = v
-        for c, v in zip(missing, encode(missing) if missing else [], strict=True):
-            found[c] = v
-            if len(c) <= self.longest:
-                self._keep(c, v)
-        return found
-
-    def _keep(self, c: str, v: bytes) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
-        self.new[c] = v
-
-
-#: white space beside a space or line feed, or either at the end
-WIDE_GAP = re.compile(r" \s| \Z|\n[^\S ]|\n\Z|\n \Z")
-#: a word of Latin letters and the marks after it (no apostrophe, which may start a piece)
-MARKED = re.compile(r"([^\n]*[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)")
+#: what a text has that is not of printable ASCII, line feeds and the letters of Latin-1, and
+#: white space beside a space or line feed (but for a space after a line feed) or at the end
+STRANGE = r"[^\n -~À-ÖØ-öø-ÿ]| [ \n]|\n\n|[ \n]\z"
+#: the pieces of other texts by the rules below
+PLAIN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^A-Za-z0-9À-ÖØ-öø-ÿ \n]+|\n"
+#: the pre-tokenizer of a vocabulary file for which PLAIN_PIECES is a shortcut
+PIECE_RULES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
 class ByteLevelEncoder:
     """Encodes with a byte-level vocabulary of the tokenizers library.
 
-    Its pre-tokenizer never lets a piece run on over a single space or line feed that stands
-    between other characters, so such texts are cut there and each distinct chunk goes through
-    the library once. Texts with wider gaps or a special token go through it as a whole.
+    Nothing is merged across the pieces of its pre-tokenizer. Where the file has the rules above,
+    texts of plain characters are cut into pieces by Arrow and each distinct piece goes through
+    the library once; other texts and those with a special token go through it as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.divider = self.tokenizer.token_to_id(self.special[0]) if self.special else None
-        self.cache = ChunkCache(450_000)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Texts without special tokens, many at a time: the library encodes what stands
-        between special tokens by itself, so one of these divides them."""
-        if not self.special:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        feed = self._whole("\n")
+        self.divider = feed[0] if len(feed) == 1 else None
+        self.plain_rules = spec["pre_tokenizer"] == PIECE_RULES and spec["normalizer"] is None and self.divider is not None
+        self.pieces = PieceCache(400_000)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _is_plain(self, texts: pa.Array) -> pa.Array:
+        if not self.plain_rules:
+            return pa.array(np.zeros(len(texts), bool))
+        other = pc.match_substring_regex(texts, STRANGE)
+        for token in self.special:
+            other = pc.or_(other, pc.match_substring(texts, token))
+        return pc.invert(other)
+
+    def _by_library(self, pieces: list[str]) -> list[bytes]:
+        """Distinct pieces, many at a time: a line feed between them is a piece of its own."""
         out: list[bytes] = []
-        for i in range(0, len(texts), 4096):
-            part = texts[i : i + 4096]
-            ids = np.array(self._whole(self.special[0].join(part)), "<u4")
+        for i in range(0, len(pieces), 4096):
+            ids = np.array(self._whole("\n".join(["." if p == "\n" else p for p in pieces[i : i + 4096]])), "<u4")
             cuts = np.flatnonzero(ids == self.divider)
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
             data = ids.tobytes()
             out += [data[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+        if "\n" in pieces:
+            out[pieces.index("\n")] = struct.pack("<I", self.divider)
         return out
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _distinct(self, pieces: pa.Array) -> pa.Array:
+        return pa.array(self.pieces.look_up(pieces.to_pylist(), self._by_library), pa.binary())
 
-    def _chunks(self, text: str) -> list[str] | None:
-        if WIDE_GAP.search(text) or any(s in text for s in self.special):
-            return None
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            if first:
-                out.append(first)
-            out += [" " + r for r in rest]
-        return out
+    def _plain(self, texts: pa.Array) -> pa.Array:
+        # every piece is followed by a divider that no plain text has
+        cut = pc.split_pattern(pc.replace_substring_regex(texts, PLAIN_PIECES, "\\0\x1f"), "\x1f")
+        return encode_pieces(cut, self._distinct)
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Unseen chunks: a word and the marks after it are pieces of their own."""
-        cut = [(m[1], m[2]) if (m := MARKED.fullmatch(c)) else (c,) for c in chunks]
-        plain = [c[0] for c in cut if len(c) == 1]
-        known = dict(zip(plain, self._encode(plain), strict=True)) if plain else {}
-        parts = self.cache.look_up([x for c in cut if len(c) == 2 for x in c], self._encode)
-        return [known[c[0]] if len(c) == 1 else parts[c[0]] + parts[c[1]] for c in cut]
+    def _other(self, texts: pa.Array) -> pa.Array:
+        return pa.array([np.array(self._whole(t), "<u4").tobytes() for t in texts.to_pylist()], pa.binary())
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        known = self.cache.look_up([c for cs in cut if cs for c in cs], self._encode_chunks)
-        return [b"".join([known[c] for c in cs]) if cs is not None else np.array(self._whole(t), "<u4").tobytes() for t, cs in zip(texts, cut, strict=True)]
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        return by_kind(texts, self._is_plain(texts), self._plain, self._other)
 
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
@@ -355,33 +328,6 @@ def encoder_of(path: str) -> ByteLevelEncoder:
     return _ENCODERS.get(path) or _ENCODERS.setdefault(path, ByteLevelEncoder(path))
 
 
-def slices(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about ``limit`` characters."""
-    run, held = [], 0
-    for t in texts:
-        run.append(t)
-        held += len(t)
-        if held >= limit:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
-
-
-def encoded(text: Column, tokenizer_path: str, end_id: int) -> Column:
-    """The ids of a text with ``end_id`` after them, as little-endian unsigned 32-bit integers."""
-    end = struct.pack("<I", end_id)
-
-    @pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = encoder_of(tokenizer_path)
-        for batch in batches:
-            out = [x + end for run in slices(["" if t is None else t for t in batch]) for x in encoder.encode(run)]
-            yield pd.Series(out, dtype=object)
-
-    return encode(text)
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of all texts in ascending order of the documents' ids."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
