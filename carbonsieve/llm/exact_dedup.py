@@ -1,91 +1,120 @@
 """Exact deduplication by a log-structured merge index of digests.
 
-Every scan task is a memtable: it sorts the digests of its rows and flushes one sorted run
-(a Parquet file with a Bloom filter on the digest). Compaction merges any number of runs to
-one row per digest, keeping one identifier and the count. A new batch of documents only
-flushes a new run; lookups join against the compacted level. Hits are verified byte by byte
-against the text of the row that stays, so a digest collision cannot drop a document.
+Every scan task is a memtable: it sorts the digests of its rows and flushes one sorted run.
+Compaction merges the level before and the runs since to one row per digest, keeping one
+identifier and the count, and drops them; a new batch of documents only flushes new runs. The
+level has a filter: a bit per hashed digest that several rows have, of bounded size. A row whose
+bit is not set is alone with its text and is settled where it is scanned; only the others are
+looked up by digest. Hits are verified byte by byte against the text of the row that stays, so
+a digest collision cannot drop a document.
 
 All of it is DataFrame operations.
 
 Rules for odd input: a null text counts as empty; rows with a null id never stay while a row
 with an id has the same text, and if no row has one, ``keep_id`` is null and all of them
-stay; rows repeated with the same id and text are one document, so they stay or go together,
-and each counts in ``group_size``. An empty table gives an empty result. Other columns, of
+stay; rows repeated with the same id and text are one document, so they stay or go together in
+``duplicates``, and each counts in ``group_size``; ``drop_duplicates`` keeps one of those that
+would stay, and one of several rows without an id. An empty table gives an empty result. Other columns, of
 whatever name, are ignored by ``duplicates`` and carried through by ``drop_duplicates``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import byte_digest, shared_dir, small_side, written
+from .shared import byte_digest, removed, shared_dir, small_side, written
 
 RUN_SCHEMA = "digest binary, id long, n long"
+#: bits of the filter per digest, and at most in all (64 MB, which is what is broadcast)
+BITS_EACH, MOST_BITS = 16, 2**29
 
 
-def _write_level(df: DataFrame, path: str, expected: int) -> None:
-    (
-        df.sortWithinPartitions("digest")
-        .write.mode("append")
-        .option("parquet.bloom.filter.enabled#digest", "true")
-        .option("parquet.bloom.filter.expected.ndv#digest", str(expected))
-        .parquet(path)
-    )
+def _write_sorted(df: DataFrame, path: str) -> None:
+    df.sortWithinPartitions("digest").write.parquet(path)
 
 
 class DigestIndex:
-    """The index: a folder with the flushed runs and a folder with the compacted level."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str | None = None,
-        *,
-        keep: str = "max",
-        digest: Callable[[Column], Column] = byte_digest,
-        expected_per_run: int = 100_000,
-    ):
+    """The index: the runs flushed since the last compaction, and the compacted level."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, *, keep: str = "max", digest: Callable[[Column], Column] = byte_digest):
         if keep not in ("min", "max"):
             raise ValueError("keep is 'min' or 'max'")
         self.spark, self.path, self.digest = spark, path or shared_dir(spark, "digest-index"), digest
-        self.best, self.expected = (F.min if keep == "min" else F.max), expected_per_run
-        self.level = 0
+        self.best = F.min if keep == "min" else F.max
+        self.runs: list[str] = []
+        self.level: str | None = None
+        self.flushed = self.levels = 0
 
     def flush(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Adds a batch: every task writes its own sorted run; nothing is shuffled."""
-        run = docs.select(
-            self.digest(F.col(text_col)).alias("digest"), F.col(id_col).cast("long").alias("id"), F.lit(1).cast("long").alias("n")
-        )
-        _write_level(run, f"{self.path}/runs", self.expected)
+        self.flushed += 1
+        run = docs.select(self.digest(F.col(text_col)).alias("digest"), F.col(id_col).cast("long").alias("id"), F.lit(1).cast("long").alias("n"))
+        _write_sorted(run, f"{self.path}/run-{self.flushed}")
+        self.runs.append(f"{self.path}/run-{self.flushed}")
 
     def compact(self) -> None:
-        """Merges the runs with the level before: one row per digest."""
-        rows = self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/runs")
-        merged = rows.groupBy("digest").agg(self.best("id").alias("id"), F.sum("n").alias("n"))
-        self.level += 1
-        _write_level(merged, f"{self.path}/level-{self.level}", self.expected)
+        """Merges the level before and the runs since to the next level, and drops them."""
+        merged = [*([self.level] if self.level else []), *self.runs]
+        if not self.runs:
+            return
+        rows = self.spark.read.schema(RUN_SCHEMA).parquet(*merged)
+        self.levels += 1
+        level = f"{self.path}/level-{self.levels}"
+        _write_sorted(rows.groupBy("digest").agg(self.best("id").alias("id"), F.sum("n").alias("n")), level)
+        self.level, self.runs = level, []
+        for path in merged:
+            removed(path)
 
     def entries(self) -> DataFrame:
-        return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/level-{self.level}")
-
-
-def _collisions(rows: DataFrame, index: DigestIndex) -> DataFrame:
-    """Digests under which a hit differs in its bytes from the row that stays.
-
-    Only texts of groups of two or more are moved. The row that stays is found by digest and
-    id, so a large group does not meet in one task; its text then joins the hits by a plain
-    join on the digest, which Spark splits where one digest is frequent."""
-    groups = small_side(written(index.entries().where("n > 1").select("digest", "id"), "digest-groups"))
-    keyed = rows.withColumn("digest", index.digest(F.col("text")))
-    staying = keyed.join(groups.select(F.col("digest").alias("d"), "id"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        """digest, id, n of the compacted level."""
+        return self.spark.read.schema(RUN_SCHEMA).parquet(self.level)
+
+    def groups(self) -> DataFrame:
+        """The entries that several rows share."""
+        return self.entries().where("n > 1")
+
+
+class DigestFilter:
+    """A bit per hashed digest. What is in ``digests`` always passes, of other digests few do
+    (more where the most bits are reached, which costs time, not rows)."""
+
+    def __init__(self, digests: DataFrame, name: str = "digest-filter"):
+        self.bits = min(MOST_BITS, max(2**15, 2 ** math.ceil(math.log2(BITS_EACH * max(1, digests.count())))))
+        place = self._place(F.col("digest"))
+        bitmaps = digests.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bitmap"))
+        self.bitmaps = written(bitmaps, name)
+
+    def _place(self, digest: Column) -> Column:
+        return F.pmod(F.xxhash64(digest), F.lit(self.bits)) + 1
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the boolean ``_maybe``; bitmaps are broadcast, ``MOST_BITS`` at most."""
+        place = self._place(F.col("digest"))
+        at = F.bitmap_bit_position(place)
+        byte = F.conv(F.hex(F.substring(F.col("_bitmap"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        bit = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+        met = rows.join(F.broadcast(self.bitmaps), F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
+        return met.withColumn("_maybe", F.coalesce(bit, F.lit(False))).drop("_bucket", "_bitmap")
+
+
+def _collisions(rows: DataFrame, groups: DataFrame, seen: DigestFilter) -> DataFrame:
+    """Digests under which a hit differs in its bytes from the row that stays. ``rows``: doc_id,
+    text, digest.
+
+    Only texts that pass the filter are moved. The row that stays is found by digest and id, so
+    a large group does not meet in one task; its text then joins the hits by a plain join on the
+    digest, which Spark splits where one digest is frequent."""
+    likely = seen.mark(rows).where("_maybe").drop("_maybe")
+    staying = likely.join(small_side(groups.select(F.col("digest").alias("d"), "id")), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")))
     # rows that repeat the staying document agree with it or are hits themselves
     staying = written(staying.groupBy("digest").agg(F.max("text").alias("kept_text")), "digest-staying")
-    hits = keyed.join(groups.select("digest"), "digest", "left_semi").select("digest", "text")
-    return hits.join(staying, "digest").where("text <> kept_text").select("digest").distinct()
+    hits = likely.join(small_side(groups.select("digest")), "digest", "left_semi").select("digest", "text")
+    # written before they are made distinct, so that the join by itself may be split
+    return written(hits.join(staying, "digest").where("text <> kept_text").select("digest"), "digest-collisions").distinct()
 
 
 def duplicates(
@@ -97,25 +126,26 @@ def duplicates(
     index = DigestIndex(spark, keep=keep, digest=digest)
     index.flush(rows)
     index.compact()
-
-    path = f"{index.path}/collisions"
-    _collisions(rows, index).write.parquet(path)
-    bad = spark.read.schema("digest binary").parquet(path)
+    groups = written(index.groups(), "digest-groups")
+    seen = DigestFilter(groups)
+    keyed = rows.withColumn("digest", digest(F.col("text")))
+    bad = written(_collisions(keyed, groups, seen), "digest-bad")
 
     sha = F.sha2("text", 256).alias("text_sha256")
-    narrow = rows.select("doc_id", sha, index.digest(F.col("text")).alias("digest"))
-    entries = index.entries().select("digest", F.col("id").alias("keep_id"), F.col("n").alias("group_size"))
-    good = narrow.join(entries.join(bad, "digest", "left_anti"), "digest")
+    out = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    narrow = seen.mark(keyed.select("doc_id", sha, "digest"))
+    alone = narrow.where("not _maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
+    known = groups.select("digest", F.col("id").alias("keep_id"), F.col("n").alias("group_size"))
+    likely = narrow.where("_maybe").join(small_side(bad), "digest", "left_anti").join(small_side(known), "digest", "left")
+    looked_up = likely.select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256")
 
     # texts that share a digest but not their bytes are grouped by the text itself
-    mixed = rows.withColumn("digest", index.digest(F.col("text"))).join(bad, "digest", "left_semi")
-    best = F.min if keep == "min" else F.max
-    groups = mixed.groupBy("text").agg(best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    split = mixed.select("doc_id", "text").join(groups, "text").withColumn("text_sha256", sha)
+    mixed = keyed.join(small_side(bad), "digest", "left_semi")
+    groups_of = mixed.groupBy("text").agg(index.best("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    split = mixed.select("doc_id", "text").join(groups_of, "text").withColumn("text_sha256", sha)
 
-    out = ["doc_id", "keep_id", "group_size", "text_sha256"]
     return (
-        good.select(*out)
+        alone.unionByName(looked_up)
         .unionByName(split.select(*out))
         .select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), "text_sha256")
     )
@@ -123,6 +153,9 @@ def duplicates(
 
 def drop_duplicates(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = duplicates(docs, keep=keep, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_sha")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_gone")) & (byte_digest(F.col(text_col)) == F.col("_sha"))
-    return docs.join(small_side(written(gone, "copies")), same, "left_anti")
+    found = duplicates(docs, keep=keep, id_col=id_col, text_col=text_col).where("group_size > 1")
+    found = written(found.groupBy(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept").agg(F.count("*").alias("_n")), "copies")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (byte_digest(F.col(text_col)) == F.col("_sha"))
+    stay = docs.join(small_side(found.where("not kept or _n > 1").select("_id", "_sha")), same, "left_anti")
+    again = docs.join(small_side(found.where("kept and _n > 1").select("_id", "_sha")), same).dropDuplicates(["_id", "_sha"])
+    return stay.unionByName(again.select(docs.columns))

@@ -12,16 +12,20 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import resolve
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder of this name in the shared folder of the cluster.
 
-    Where the session names none (local tests), a temporary one is set.
+    Where the session names none, a local one will do for local tests only.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="carbonsieve-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -35,6 +39,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(path: str) -> None:
+    """Deletes a folder that nothing reads any more. A store that pyarrow cannot reach keeps it
+    until the shared folder is cleared."""
+    try:
+        fs, at = resolve(path)
+    except (OSError, ValueError):
+        return
+    fs.delete_dir(at)
+
+
 def small_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
     """Python workers get texts in batches of about this size, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
@@ -50,10 +64,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def literal_like(value, dtype: str) -> Column:
-    return F.lit(value).cast(dtype)
-
-
 def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = False) -> DataFrame:
     """``df`` dealt out and sorted so that each partition holds whole consecutive ranges of
     the global order by ``key`` and also copies of the rows that stand beside each range.
