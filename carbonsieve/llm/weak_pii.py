@@ -3,8 +3,8 @@
 Four base kinds are found by pattern and check (email, ip, card, phone). Besides, every match
 of a wider pattern is a candidate: base matches, those that fail their check, and long strings
 of letters and digits (kind ``secret``). Four labelers vote on each candidate, for, against or
-not at all: the format (regex), lists of known parts (gazetteer), its borders (context) and the
-words before it (cue). Votes are counted by pattern - a table of bounded size - and expectation
+not at all: the format (regex), lists of known parts (gazetteer: domains, networks, issuers, calling codes, beginnings of issued
+keys), its borders (context) and the words before it (cue). Votes are counted by pattern - a table of bounded size - and expectation
 maximisation over the patterns estimates how far each labeler is right and how likely each
 pattern is personal data. With these soft labels a naive Bayes classifier over the shape of a
 candidate and the hashed words around it is trained from counts, again of bounded size. Spans
@@ -40,7 +40,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,128}+(?![A-Za-z0-9+/_=-])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])",
 }
 #: a text without this has no match
 HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "secret": r"[A-Za-z0-9+/_=-]{20}"}
@@ -54,6 +54,7 @@ TOP_DOMAINS = "com org net edu gov mil int info biz io co eu uk de fr es it nl b
 SPECIAL_NETWORKS = "0 10 127 169 224 225 226 227 228 229 230 231 232 233 234 235 236 237 238 239 240 255".split()
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|35|6011|65|30[0-5]|36|38|62)"
 CALLING_CODES = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-689]\d|3[578]\d|42\d|5[09]\d|6[7-9]\d|8[058]\d|9[679]\d)"
+ISSUED = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|github_pat_|glpat-|sk[-_]|pk[-_]|rk_|xox[abprs]-|ya29|eyJ|npm_|pypi-|dop_v1_|shpat_|hf_)"
 CUES = {
     "email": r"(?i)(e-?mail|mail|contact|write|reach|courriel|correo)\W*\w*\W*$",
     "ip": r"(?i)(\bip\b|address|host|server|login|from|client)\W*\w*\W*$",
@@ -64,23 +65,57 @@ CUES = {
 
 
 def _found(text: Column, kind: str) -> Column:
-    """array<struct<start, end, m>> of the matches, in code points, end exclusive."""
+    """array<struct<start, end, m, before, after>> of the matches, in code points, end exclusive;
+    before and after are what stands beside, up to 32 and 24 characters and at most as far as
+    the second match from here."""
     pattern = F.lit(PATTERNS[kind])
     matches, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, PATTERNS[kind], -1)
-    kind_of = "array<struct<start:int,end:int,m:string>>"
-    none = F.array().cast(kind_of)
+    none = F.array().cast("array<struct<start:int,end:int,m:string,before:string,after:string>>")
+    part = lambda array, i: F.coalesce(F.get(array, i), F.lit(""))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["m"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("m")))
-        return F.struct(end.alias("at"), F.concat(state["found"], one).alias("found"))
+    def placed(s: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            start = _sum_before(s, i) + F.length(part(s["gaps"], i))
+            before = F.right(F.concat(part(s["gaps"], i - 1), part(s["m"], i - 1), part(s["gaps"], i)), F.lit(32))
+            after = F.left(F.concat(part(s["gaps"], i + 1), part(s["m"], i + 1), part(s["gaps"], i + 2)), F.lit(24))
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("m"), before.alias("before"), after.alias("after"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda s: s["found"])
+        return F.transform(s["m"], span)
+
+    def summed(s: Column) -> Column:
+        steps = F.zip_with(F.slice(s["gaps"], 1, F.size(s["m"])), s["m"], lambda g, m: F.length(g) + F.length(m))
+        return _let(_with_sums(s, steps), placed)
+
+    spans = _let(F.struct(matches.alias("m"), gaps.alias("gaps")), lambda s: F.when(F.size(s["m"]) > 0, summed(s)).otherwise(none))
     return F.when(text.rlike(HINTS[kind]), spans).otherwise(none)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _with_sums(s: Column, steps: Column) -> Column:
+    """The matches with their steps, and the sum of all steps before each run of about the
+    square root of their number: so the sum before any match takes few additions."""
+    add = lambda array: F.aggregate(array, F.lit(0), lambda x, y: x + y)
+    count = lambda array: F.sequence(F.lit(0), F.size(array) - 1)
+
+    def runs(t: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(t["steps"]) - 1, t["width"])
+        sums = F.transform(starts, lambda at: add(F.slice(t["steps"], at + 1, t["width"])))
+        heads = _let(sums, lambda x: F.transform(count(x), lambda k: add(F.slice(x, 1, k))))
+        return F.struct(s["m"].alias("m"), s["gaps"].alias("gaps"), t["steps"].alias("steps"), t["width"].alias("width"), heads.alias("heads"))
+
+    return _let(F.struct(steps.alias("steps"), F.ceil(F.sqrt(F.size(s["m"]))).cast("int").alias("width")), runs)
+
+
+def _sum_before(s: Column, i: Column) -> Column:
+    run = F.floor(i / s["width"]).cast("int")
+    rest = F.slice(s["steps"], run * s["width"] + 1, i - run * s["width"])
+    return F.get(s["heads"], run) + F.aggregate(rest, F.lit(0), lambda x, y: x + y)
+
+
 def _digits(m: Column) -> Column:
     return F.translate(m, " ().+-", "")
 
@@ -123,8 +158,8 @@ def _votes(kind: str, c: Column) -> list[Column]:
     m, before, after = c["m"], c["before"], c["after"]
     ever, never = F.lit(True), F.lit(False)
     if kind == "secret":
-        form = _vote(m.rlike("^[0-9a-f]{32,}$|^[0-9A-F]{32,}$|^(sk|pk|ghp|AKIA|xox)[-_A-Z0-9]"), ~m.rlike("[0-9].*[A-Za-z].*[0-9]"))
-        known = _vote(before.rlike(r"(?i)(token|key|secret|passw(or)?d|pwd|auth|bearer|credential)s?\W*$"), ever)
+        form = _vote(m.rlike("^[0-9a-f]{32,}+$|^[0-9A-F]{32,}+$") | m.rlike("[0-9]") & m.rlike("[a-z]") & m.rlike("[A-Z]"), ~m.rlike("[0-9][^0-9]+[0-9]"))
+        known = _vote(m.rlike(ISSUED), never)
     else:
         form = _vote(c["ok"], ~c["ok"])
         if kind == "email":
@@ -137,7 +172,8 @@ def _votes(kind: str, c: Column) -> list[Column]:
             known = _vote(_digits(m).rlike(CALLING_CODES), ever)
     glued = before.rlike(r"[\p{L}0-9_]$") | after.rlike(r"^[\p{L}0-9_]")
     borders = _vote(~glued, glued)
-    cue = _vote(before.rlike(CUES[kind]) | before.rlike("[:=]\\s*[\"']?$"), never)
+    cued = before.rlike(CUES[kind]) | before.rlike("[:=]\\s*[\"']?$")
+    cue = _vote(cued, ~cued & before.rlike(r"\p{L}[,;]?\s+$") if kind == "secret" else never)
     return [form, known, borders, cue]
 
 
@@ -159,8 +195,8 @@ def candidates(text: Column, kind: str) -> Column:
         s["end"],
         s["m"],
         _valid(kind, s["m"]).alias("ok"),
-        F.substring(text, F.greatest(s["start"] - 31, F.lit(1)), F.least(s["start"], F.lit(32))).alias("before"),
-        F.substring(text, s["end"] + 1, F.lit(24)).alias("after"),
+        s["before"],
+        s["after"],
     )
     return F.transform(F.filter(_found(text, kind), lambda s: _candidate(kind, s["m"])), wide)
 
