@@ -14,7 +14,7 @@ fingerprints, near 0 for unrelated texts.
 
 Rules for odd input: null counts as the empty text, which is one empty paragraph and has no
 runs; two texts without runs have likeness 1 if their fingerprints are equal, else 0. For the
-edited text see ``edit``. Rows with the same id are taken in the order of their text; null ids
+edited text see ``edit``. Rows with the same id are taken in the order of a hash of their text; null ids
 come last. A table of one row follows itself; an empty table gives an empty result. Other
 columns are ignored.
 """
@@ -45,19 +45,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words, with a bounded memory of those met."""
+_RANDOM = np.random.default_rng(20)
+#: a random 64-bit value per byte, and powers of a random odd number for the places in a word
+BYTES = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+PLACES = np.cumprod(np.full(4096, _RANDOM.integers(0, 2**63, dtype=np.uint64) * np.uint64(2) + np.uint64(1), np.uint64))
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-    def __init__(self, limit: int = 300_000):
-        self.limit, self.known = limit, {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        return np.array([known.get(w) or known.setdefault(w, digest(w)) for w in words], dtype=np.uint64)
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words between ASCII white space, and where each starts. Nothing is
+    kept from text to text, so memory is bounded by the text."""
+    flat = np.frombuffer(data, np.uint8)
+    inside = ~SPACE[flat]
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return np.empty(0, np.uint64), at
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # of each word, among the bytes of words
+    lengths = np.diff(first, append=len(at))
+    place = np.arange(len(at)) - np.repeat(first, lengths)
+    longest = int(lengths.max())
+    powers = PLACES if longest <= len(PLACES) else np.cumprod(np.full(longest, PLACES[0], np.uint64))
+    sums = np.add.reduceat(BYTES[flat[at]] * powers[place], first)
+    return mixed(sums + lengths.astype(np.uint64) * MIX), at[first]
 
 
 class Fingerprint:
@@ -90,16 +100,16 @@ class Fingerprint:
         return float(min(1.0, max(0.0, 1 - (apart @ apart) / whole)))
 
 
-def paragraph_vectors(paragraphs: list[str], hashes: WordHashes) -> Fingerprint:
+def paragraph_vectors(paragraphs: list[str]) -> Fingerprint:
     """The sum of the vectors of some paragraphs."""
     data = [p.encode("utf-8", "surrogatepass") for p in paragraphs]
     digests = b"".join([hashlib.shake_128(d).digest(4 * EQUAL_LANES) for d in data])
     equal = np.frombuffer(digests, "<u4").reshape(-1, EQUAL_LANES).sum(axis=0, dtype=np.uint32)
-    split = [d.split() for d in data]
-    lengths = np.array([len(w) for w in split])
-    flat = hashes([w for ws in split for w in ws])
+    flat, starts = word_hashes(b"\n".join(data))
     if not len(flat):
         return Fingerprint(equal, None)
+    ends = np.cumsum([len(d) + 1 for d in data])
+    lengths = np.bincount(np.searchsorted(ends, starts, "right"), minlength=len(data))
     # runs start at every word that has two more in its paragraph; a shorter paragraph is one run
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(flat))
     first = np.zeros(len(flat), bool)
@@ -116,8 +126,8 @@ def paragraph_vectors(paragraphs: list[str], hashes: WordHashes) -> Fingerprint:
     return Fingerprint(equal, like.astype(np.int64).astype(np.uint32))
 
 
-def fingerprint(text: str, hashes: WordHashes) -> Fingerprint:
-    return paragraph_vectors(text.split("\n"), hashes)
+def fingerprint(text: str) -> Fingerprint:
+    return paragraph_vectors(text.split("\n"))
 
 
 def edit(text: str, following: str) -> str:
@@ -129,18 +139,17 @@ def edit(text: str, following: str) -> str:
 
 def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Frames come in the order of in_order: every row is the one that follows the row before."""
-    hashes = WordHashes()
     at, before = None, None
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
     for frame in frames:
         out = []
         for number, side, doc_id, text in zip(frame["_range"], frame["_side"], frame["doc_id"], frame["text"], strict=True):
-            own = fingerprint(text, hashes)
+            own = fingerprint(text)
             if not side:
                 # rows come in ascending order of the key, so the row before is the next one
                 near_text, near = before if at == number and before is not None else (text, own)
                 edited = edit(text, near_text)
-                other = fingerprint(edited, hashes)
+                other = fingerprint(edited)
                 out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), own.text(), other.text(), own.likeness(other), own.likeness(near)))
             at, before = number, (text, own)
         yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
@@ -149,8 +158,8 @@ def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """The fingerprint of every text, of its edited text, and their likeness; the next document
     is that of the next lower id, after the lowest the highest."""
-    n = ranges or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # ascending, nulls before all: the document that follows in descending order stands before
-    key = [F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.sha2("text", 256)]
+    key = [F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")]
     return in_order(rows, key, n).select("_range", "_side", "doc_id", "text").mapInPandas(_rows, SCHEMA)

@@ -6,9 +6,11 @@ Everything that one task writes and another reads lies under
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +51,17 @@ def removed(path: str) -> None:
     fs.delete_dir(at)
 
 
-def small_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, size: str = "2m", rows: int = 500) -> None:
     """Python workers get texts in batches of about this size, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def released() -> None:
+    """A Python worker gives back what Arrow has freed: it waits for other stages' tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def byte_digest(text: Column) -> Column:
     """SHA-256 of the UTF-8 bytes as 32 bytes; null counts as empty."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
@@ -65,8 +72,8 @@ def word_count(text: Column) -> Column:
 
 
 def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = False) -> DataFrame:
-    """``df`` dealt out and sorted so that each partition holds whole consecutive ranges of
-    the global order by ``key`` and also copies of the rows that stand beside each range.
+    """``df`` dealt out and sorted so that each partition is one range of the global order by
+    ``key`` and also holds copies of the rows that stand beside the range.
 
     Added columns: ``_range`` (number of the range), ``_key`` (struct of the key) and ``_side``:
     0 for the rows themselves, -1 for a copy of the row before the range (the first range gets
@@ -74,8 +81,9 @@ def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = F
     the row after it. A reader that goes through a partition row by row thus sees the
     neighbours of every row.
 
-    The bounds of the ranges (``ranges`` small keys at most) are the only rows that reach the
-    driver; they are literals afterwards, so a lost task is dealt the same rows again.
+    The bounds of the ranges (two keys each, so keys should be short) are the only rows that
+    reach the driver; they are literals afterwards, so a lost task is dealt the same rows again,
+    and a row is compared with about twice the square root of their number.
     ``key`` must have no nulls. Of rows with an equal key at a bound, all are copied.
     """
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)]))
@@ -90,16 +98,23 @@ def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = F
     )
     if not ends:
         return keyed.withColumns({"_range": F.lit(0), "_side": F.lit(0)})
-    array = lambda name: F.array(*[F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(e[name])]).cast(kind) for e in ends])
-    firsts, lasts = array("first"), array("last")
-    # the range of a key: how many ranges end before it
-    out = keyed.withColumns({"_range": F.size(F.filter(lasts, lambda b: b < F.col("_key"))), "_side": F.lit(0)})
-    before = keyed.where(F.array_contains(lasts, F.col("_key")))
-    out = out.unionByName(before.withColumns({"_range": (F.array_position(lasts, F.col("_key")) % len(ends)).cast("int"), "_side": F.lit(-1)}))
+    literal = lambda key: F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(key)]).cast(kind)
+    width = math.isqrt(len(ends) - 1) + 1
+    blocks = [ends[i : i + width] for i in range(0, len(ends), width)]
+    below = lambda bounds: F.size(F.filter(bounds, lambda b: b < F.col("_key")))
+    nested = lambda name: F.array(*[F.array(*[literal(e[name]) for e in block]) for block in blocks])
+    # the range of a key is how many ranges end before it; no key is above the last bound
+    rows = keyed.withColumn("_block", below(F.array(*[literal(block[-1]["last"]) for block in blocks])))
+    rows = rows.withColumn("_place", below(F.get(nested("last"), F.col("_block"))))
+    at = F.col("_block") * width + F.col("_place")
+    is_bound = lambda name: F.get(F.get(nested(name), F.col("_block")), F.col("_place")) == F.col("_key")
+    seat = lambda number, side: F.struct(number.cast("int").alias("range"), F.lit(side).alias("side"))
+    seats = [seat(at, 0), F.when(is_bound("last"), seat((at + 1) % len(ends), -1))]
     if both_sides:
-        after = keyed.where(F.array_contains(firsts, F.col("_key")) & (F.col("_key") > firsts[0]))
-        out = out.unionByName(after.withColumns({"_range": (F.array_position(firsts, F.col("_key")) - 2).cast("int"), "_side": F.lit(1)}))
-    return out.repartition(ranges, "_range").sortWithinPartitions("_range", "_side", "_key")
+        seats.append(F.when(is_bound("first") & (at > 0), seat(at - 1, 1)))
+    out = rows.withColumn("_seat", F.explode(F.array_compact(F.array(*seats))))
+    out = out.select(*keyed.columns, F.col("_seat.range").alias("_range"), F.col("_seat.side").alias("_side"))
+    return out.repartitionById(len(ends), F.col("_range")).sortWithinPartitions("_range", "_side", "_key")
 
 
 def small_side(table: DataFrame, rows: int = 500_000) -> DataFrame:
