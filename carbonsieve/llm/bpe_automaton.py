@@ -27,6 +27,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -211,26 +212,32 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+@dataclass
+class BpeFile:
+    """What the tasks need of a vocabulary file: its rules without the model's tables, the
+    automaton, and the label of every id."""
+
+    rules: dict
+    automaton: MergeAutomaton
+    labels: pa.Array
+
+
 class WordBpe:
     """A vocabulary file of the tokenizers library with word ends, by the automaton."""
 
-    def __init__(self, path: str, automaton: MergeAutomaton | None = None):
+    def __init__(self, file: BpeFile):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        vocab: dict[str, int] = spec["model"]["vocab"]
-        self.automaton = automaton or compiled(spec)
+        spec, self.automaton = file.rules, file.automaton
         end = spec["model"].get("end_of_word_suffix") or ""
         # the file's own normaliser and pre-tokenizer cut the words; merging is done here
-        library = Tokenizer.from_file(path)
+        library = Tokenizer.from_str(json.dumps(spec))
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.plain_rules = spec["pre_tokenizer"] == WORD_RULES and spec["normalizer"] == NORMAL_RULES
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        labels = {i: s for s, i in (vocab | self.special).items()}
-        self.labels = pa.array([labels.get(i, "") for i in range(max(labels) + 1)])
+        self.labels = file.labels
         # a symbol outside the vocabulary has no token, as in a file without one for unknowns
         numbers = self.automaton.symbols
         alphabet = _byte_alphabet()
@@ -238,7 +245,7 @@ class WordBpe:
         self.inner, self.final = np.full(256, -1, np.int64), np.full(256, -1, np.int64)
         for c, b in alphabet.items():
             self.inner[b], self.final[b] = numbers.get(c, -1), numbers.get(c + end, -1)
-        self.words, self.pieces = PieceCache(300_000), PieceCache(50_000)
+        self.words, self.pieces = PieceCache(100_000), PieceCache(25_000)
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words."""
@@ -314,12 +321,17 @@ class WordBpe:
         return self.decode_array(pa.array([ids], pa.binary()))[0].as_py()
 
 
-def compiled(spec: dict) -> MergeAutomaton:
-    """The automaton of a vocabulary file's contents."""
+def bpe_file(path: str) -> BpeFile:
+    """Reads a vocabulary file and compiles its automaton."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
     vocab = spec["model"]["vocab"]
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
     made = {u + v for u, v in merges}
-    return MergeAutomaton({s: i for s, i in vocab.items() if s not in made}, [(vocab[u], vocab[v], vocab[u + v]) for u, v in merges])
+    automaton = MergeAutomaton({s: i for s, i in vocab.items() if s not in made}, [(vocab[u], vocab[v], vocab[u + v]) for u, v in merges])
+    labels = {i: s for s, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    rules = spec | {"model": spec["model"] | {"vocab": {}, "merges": []}}
+    return BpeFile(rules, automaton, pa.array([labels.get(i, "") for i in range(max(labels) + 1)]))
 
 
 _SENT: dict[str, object] = {}
@@ -327,18 +339,17 @@ _WORD_BPE: dict[str, WordBpe] = {}
 
 
 def _sent(path: str):
-    """The automaton of a file as a broadcast of this session: its size is the vocabulary's."""
+    """What a file says as a broadcast of this session: its size is the vocabulary's."""
     spark = SparkSession.getActiveSession()
     key = f"{spark.sparkContext.applicationId} {path}"
     if key not in _SENT:
-        with open(path, encoding="utf-8") as f:
-            _SENT[key] = spark.sparkContext.broadcast(compiled(json.load(f)))
+        _SENT[key] = spark.sparkContext.broadcast(bpe_file(path))
     return _SENT[key]
 
 
 def _word_bpe(path: str, sent) -> WordBpe:
     if path not in _WORD_BPE:
-        _WORD_BPE[path] = WordBpe(path, sent.value)
+        _WORD_BPE[path] = WordBpe(sent.value)
     return _WORD_BPE[path]
 
 

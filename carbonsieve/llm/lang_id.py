@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .shared import byte_digest, released, small_side, written
+
 UND = "und"
 ORDERS = (4, 3, 2, 1)
 LETTERS = regex.compile(r"\p{L}+")
@@ -122,8 +124,6 @@ class Counted:
 
 
 def _counted(counts: DataFrame, key: str, langs: list[str]) -> Counted:
-    from .shared import written
-
     own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
     rows = counts.groupBy(F.col(key).alias("entry")).agg(F.sum("n").alias("total"), *own)
     rows = written(rows.withColumn("class", F.floor(F.log2("total") * 16).cast("int")).drop("total"), "lang-entries")
@@ -145,8 +145,6 @@ class Trained:
 def train(
     docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, counts: DataFrame | None = None
 ) -> Trained:
-    from .shared import written
-
     counts = written(word_counts(docs, text_col, lang_col), "lang-words") if counts is None else counts
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     pieces = written(gram_counts(counts), "lang-grams")
@@ -203,27 +201,16 @@ class Scorer:
         return self.model.langs[best], float(1 / odds.sum())
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    scorer = _SCORERS.get(id(model))
-    if scorer is None:
-        scorer = Scorer(model)
-        _SCORERS.clear()
-        _SCORERS[id(model)] = scorer
-    return scorer
-
-
 def predicted(spark: SparkSession, text: Column, model: Model) -> Column:
     """struct<lang, score> of a text by a model that holds all that was trained."""
     sent = spark.sparkContext.broadcast(model)
 
     @pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _scorer(sent.value)
+        scorer = Scorer(sent.value)
         for batch in batches:
             yield pd.DataFrame([scorer.text(t) for t in batch], columns=["lang", "score"])
+        released()
 
     return predict(text)
 
@@ -235,7 +222,7 @@ def _by_head(texts: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([("digest", pa.binary()), ("head", pa.list_(pa.float64())), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(sent.value)
+        scorer = Scorer(sent.value)
         for batch in batches:
             found = [scorer.sums(t) for t in batch.column("text").to_pylist()]
             columns = (
@@ -244,6 +231,7 @@ def _by_head(texts: DataFrame, model: Model) -> DataFrame:
                 [list(f[1].values()) if f else [] for f in found],
             )
             yield pa.RecordBatch.from_arrays([batch.column("digest").cast(pa.binary()), *(pa.array(c, t.type) for c, t in zip(columns, list(schema)[1:], strict=True))], schema=schema)
+        released()
 
     return texts.select("digest", "text").mapInArrow(scored, "digest binary, head array<double>, words array<string>, times array<long>")
 
@@ -251,8 +239,6 @@ def _by_head(texts: DataFrame, model: Model) -> DataFrame:
 def _by_grams(words: DataFrame, grams: dict[int, Counted]) -> list[DataFrame]:
     """word, s0 and on of words that were never trained: the means over the n-grams of the
     greatest order of which any was."""
-    from .shared import small_side, written
-
     out = []
     for k in ORDERS:
         if words.isEmpty():
@@ -269,8 +255,6 @@ def _by_grams(words: DataFrame, grams: dict[int, Counted]) -> list[DataFrame]:
 
 def scores(docs: DataFrame, trained: Trained, text_col: str = "text") -> DataFrame:
     """digest, lang, score: one row per distinct text, by the model and the tables behind it."""
-    from .shared import byte_digest, written
-
     langs = trained.model.langs
     texts = docs.select(byte_digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("text"))
     parts = _by_head(texts, trained.model).dropDuplicates(["digest"])
@@ -306,8 +290,6 @@ def identify(
     docs: DataFrame, *, train_on: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS
 ) -> DataFrame:
     """``docs`` with the struct column ``_lang`` (lang, score)."""
-    from .shared import byte_digest
-
     rows = training_rows(docs, id_col) if train_on is None else train_on
     trained = train(rows, text_col=text_col, lang_col=lang_col, max_words=max_words, max_grams=max_grams)
     if trained.words is None:
@@ -318,8 +300,6 @@ def identify(
 
 def in_a_language(docs: DataFrame, trained: Trained, text_col: str = "text") -> DataFrame:
     """``docs`` but for those that the model finds in no language."""
-    from .shared import byte_digest, small_side
-
     if trained.words is None:
         return docs.where(predicted(docs.sparkSession, F.col(text_col), trained.model)["lang"] != UND)
     gone = scores(docs, trained, text_col).where(F.col("lang") == UND).select(F.col("digest").alias("_gone"))

@@ -76,7 +76,8 @@ def encode_pieces(split: pa.ListArray, ids_of: Callable[[pa.Array], pa.Array]) -
     which = found.indices.to_numpy()
     n = np.diff(starts)[which]
     stops = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.repeat(starts[which] - stops[:-1], n) + np.arange(stops[-1])]
+    # fewer ids than bytes in a batch, so 32 bits do
+    ids = flat[np.repeat((starts[which] - stops[:-1]).astype(np.int32), n) + np.arange(stops[-1], dtype=np.int32)]
     offsets = split.offsets.to_numpy()
     return from_flat(ids, stops[offsets - offsets[0]])
 

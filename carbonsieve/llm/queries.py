@@ -11,8 +11,12 @@ from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_d
 from .shared import shared_dir, small_batches
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+#: batches for operators that encode each distinct piece of a batch once
+LARGE = {"size": "8m", "rows": 2000}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, **batches) -> DataFrame:
+    small_batches(spark, **batches)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,7 +32,7 @@ def op1_set_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "tokens")
-    token_blocks.write_tokens(_table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"), end_id=2)
+    token_blocks.write_tokens(_table(spark, sf_dir, "documents", **LARGE), folder, _vocabulary("byte_bpe_50k.json"), end_id=2)
     back = token_blocks.read_tokens(spark, folder)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
@@ -67,7 +71,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = _table(spark, sf_dir, "documents", **LARGE)
     rows = docs.select("doc_id", bpe_automaton.round_trip(F.col("text"), _vocabulary("word_bpe_49k.json")).alias("r"))
     return rows.select(
         "doc_id", F.expr("cast(octet_length(r.ids) div 4 as bigint)").alias("n_tokens"), F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.decoded", 256).alias("decoded_sha256")

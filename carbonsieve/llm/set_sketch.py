@@ -18,8 +18,8 @@ the bucket. So no link between components is lost to the economy of the first st
 
 Rules for odd input: a null or empty text has the empty set and is linked with nothing; a text
 with fewer words than a shingle is one shingle of all its words; rows with the same id are one
-document, so what links one links all; rows with a null id are linked with nothing and have a
-null component. An empty table gives an empty result; other columns are ignored.
+document, so what links one of its texts links all (but for rows with the empty set); rows with
+a null id are linked with nothing and have a null component. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .components import components, partial_components
-from .multiset_hash import MIX, WordHashes, mixed
-from .shared import small_side, written
+from .multiset_hash import MIX, mixed, word_hashes
+from .shared import released, small_side, written
 
 #: 32 bands of 4 registers miss a pair of overlap 0.8 about once in 20 million
 BANDS, ROWS = 32, 4
@@ -50,10 +50,10 @@ PAIRED, BLOCK, PROBES = 64, 256, 512
 SURE = 16.0
 
 
-def shingle_set(text: str, size: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; words as bytes between ASCII white
     space, A-Z in lower case."""
-    words = hashes(text.encode("utf-8", "surrogatepass").lower().split())
+    words, _ = word_hashes(text.encode("utf-8", "surrogatepass").lower())
     n = len(words)
     if not n:
         return words
@@ -113,9 +113,9 @@ def sketch(text: Column, size: int) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        hashes, sketcher = WordHashes(), Sketcher()
+        sketcher = Sketcher()
         for batch in batches:
-            sets = [shingle_set(t or "", size, hashes) for t in batch]
+            sets = [shingle_set(t or "", size) for t in batch]
             yield pd.DataFrame(
                 {
                     "n": [len(s) for s in sets],
@@ -123,6 +123,7 @@ def sketch(text: Column, size: int) -> Column:
                     "registers": [sketcher.registers(s).astype(">u2").tobytes() for s in sets],
                 }
             )
+        released()
 
     return of(text)
 
@@ -141,13 +142,12 @@ def _likely(percent: int, n_a: Column, n_b: Column, a: Column, b: Column) -> Col
 def _confirmed(percent: int, size: int, a: Column, b: Column) -> Column:
     @pandas_udf("boolean")
     def confirmed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
         for left, right in batches:
             last, held, out = None, None, []
             for x, y in zip(left, right, strict=True):
                 if x != last:
-                    last, held = x, shingle_set(x or "", size, hashes)
-                other = shingle_set(y or "", size, hashes)
+                    last, held = x, shingle_set(x or "", size)
+                other = shingle_set(y or "", size)
                 both = len(np.intersect1d(held, other, assume_unique=True))
                 out.append(100 * both >= percent * (len(held) + len(other) - both) and both > 0)
             yield pd.Series(out, dtype=bool)
@@ -178,9 +178,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
         some.groupBy("digest", "n").agg(F.min(F.struct("doc_id", "registers")).alias("first")).select("digest", "n", F.col("first.doc_id").alias("node"), F.col("first.registers").alias("registers")),
         "nodes",
     )
-    # a document repeated with different texts names several nodes; its texts are all fetched
-    # by its id, and its sets count as one node for what links them
-    sketches = nodes.groupBy("node").agg(F.max_by(F.struct("n", "registers"), "n").alias("s")).select("node", "s.n", "s.registers")
+    # a document repeated with different texts may name several nodes: each keeps its sketch, all
+    # its texts are fetched by its id, and what links one of them links the document
+    sketches = nodes.select("node", "n", "registers")
+    several = some.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("d0 <> d1").select("doc_id")
+    several = small_side(written(several, "repeated-ids"))
+    same = written(some.join(several, "doc_id").join(nodes.select("digest", "n", "node"), ["digest", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "same-ids")
     texts = rows.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
 
     part = 2 * ROWS
@@ -190,7 +193,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
     met = written(keys.join(buckets, "key"), "bucket-members")
 
     stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(stars, texts, sketches, shingle, percent)
+    links = same.unionByName(_links(stars, texts, sketches, shingle, percent))
     found = partial_components(links)
 
     # buckets in which several components are left: each time another hub is tried
@@ -198,7 +201,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
         placed = _placed(met, found)
         draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
         several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(draw).alias("hub")).where("c0 < c1")
-        tried = placed.join(several.select("key", F.col("hub.node").alias("other"), F.col("hub.component").alias("other_component")), "key").where("component <> other_component")
+        # written first: joined to its own groups, a frequent key could not be split
+        several = written(several.select("key", F.col("hub.node").alias("other"), F.col("hub.component").alias("other_component")), "open-hubs")
+        tried = placed.join(small_side(several), "key").where("component <> other_component")
         more = tried.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         links = links.unionByName(_links(more, texts, sketches, shingle, percent))
         found = partial_components(links)
@@ -206,7 +211,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
     # and then everything across components: pairs in small buckets, blocks in large ones
     placed = _placed(met, found)
     several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).where("c0 < c1").select("key", "size")
-    left = written(placed.join(several, "key"), "open-buckets")
+    left = written(placed.join(small_side(written(several, "open-keys")), "key"), "open-buckets")
     about = sketches.select("node", "n", *_bit_signature(F.col("registers")), bands.alias("keys"))
     small = left.where(F.col("size") <= PAIRED).join(about, "node")
     across = small.alias("x").join(
@@ -247,8 +252,7 @@ def _block_links(left: DataFrame, texts: DataFrame, size: int, percent: int) ->
     work = indexed.unionByName(probes).join(held, "node")
 
     def linked(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = WordHashes()
-        sets = {t: shingle_set(t, size, hashes) for t in set(group["text"].fillna(""))}
+        sets = {t: shingle_set(t, size) for t in set(group["text"].fillna(""))}
         rows = list(zip(group["node"], group["component"], group["probe"], group["text"].fillna(""), strict=True))
         index = [r for r in rows if not r[2]]
         out = []

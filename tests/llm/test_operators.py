@@ -1,7 +1,9 @@
 """Each operator against a plain version on small tables with every kind of odd row."""
 
+import glob
 import hashlib
 import io
+import os
 import random
 import re
 import zlib
@@ -16,6 +18,7 @@ from carbonsieve.llm import bpe_automaton, components, exact_dedup, lang_id, mix
 
 DOCS = "doc_id long, text string, lang string, source string, digest string, n long"
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.01"
 WORDS = "the of and ing ent for with word le la que un der die das nicht él está año".split()
 
 
@@ -71,13 +74,28 @@ def test_exact_duplicates_null_ids_and_runs(spark):
     df = spark.createDataFrame([(None, "x"), (3, "x"), (None, "y"), (None, "y")], "doc_id long, text string")
     got = sorted(map(str, ((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.duplicates(df).collect())))
     assert got == sorted(map(str, [(None, 3, 2, False), (3, 3, 2, True), (None, None, 2, True), (None, None, 2, True)]))
+    kept = exact_dedup.drop_duplicates(df.unionByName(df)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(3, "x"), (None, "y")]))
     index = exact_dedup.DigestIndex(spark, keep="min")
     for ids in ([5, 6], [2], [9]):
         index.flush(spark.createDataFrame([(i, "same") for i in ids], "doc_id long, text string"))
         index.compact()
+        # what was merged is gone: the next compaction reads this level and the runs after it
+        assert not index.runs and [p.split("/")[-1] for p in glob.glob(index.path.removeprefix("file://") + "/*")] == [index.level.split("/")[-1]]
     assert [(r["id"], r["n"]) for r in index.entries().collect()] == [(2, 4)]
 
 
+def test_filters_pass_all_that_they_hold(spark, monkeypatch):
+    all_rows = spark.range(2000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), "id")
+    held = all_rows.where("id < 300")
+    for most in (2**29, 2**15, 64):
+        monkeypatch.setattr(exact_dedup, "MOST_BITS", most)
+        marked = {r["id"]: r["_maybe"] for r in exact_dedup.DigestFilter(held).mark(all_rows).collect()}
+        assert len(marked) == 2000 and all(marked[i] for i in range(300))
+        assert most < 100 or sum(marked.values()) < 700
+    assert not exact_dedup.DigestFilter(held.where("false")).mark(all_rows).where("_maybe").count()
+
+
 def test_mixing(spark, docs, rows, none):
     got = mixing.plan(docs).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
@@ -228,6 +246,15 @@ def test_pii_adds_secrets_and_leaves_plain_texts(spark):
         assert got[i] == (f"secret:{at}:{at + 40}" if i < 100 else "")
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not there")
+def test_pii_finds_the_secrets_of_the_given_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r["doc_id"]: r["spans"].split(",") for r in weak_pii.digest_columns(weak_pii.marked(docs, weak_pii.train(docs))).collect()}
+    planted = [(r["doc_id"], f"secret:{m.start(1)}:{m.end(1)}") for r in docs.collect() for m in re.finditer(r'token = "([0-9a-f]{20,})"', r["text"] or "")]
+    assert planted and all(span in got[i] for i, span in planted)
+    assert sum(s.startswith("secret") for spans in got.values() for s in spans) == len(planted)
+
+
 def test_reliabilities_tell_good_labelers():
     prior, right, belief = weak_pii.reliabilities({(1, 1, 1, 2): 50, (0, 0, 0, 2): 50, (1, 1, 0, 2): 5, (0, 0, 1, 2): 5})
     assert 0.4 < prior < 0.6 and right[0][0] > right[2][0] and belief[1, 1, 1, 2] > 0.95 > 0.05 > belief[0, 0, 0, 2]
@@ -252,8 +279,7 @@ def test_fingerprints(spark, docs, rows, none):
 
 
 def test_fingerprints_do_not_depend_on_order_and_can_be_edited():
-    h = multiset_hash.WordHashes()
-    of = lambda *p: multiset_hash.paragraph_vectors(list(p), h)
+    of = lambda *p: multiset_hash.paragraph_vectors(list(p))
     assert of("a b c d", "e", "e").text() == of("e", "a b c d", "e").text() != of("e", "a b c d").text()
     assert (of("a b c d", "e") + of("f g")).text() == of("f g", "a b c d", "e").text()
     assert (of("a b c d", "e") - of("e")).text() == of("a b c d").text()
@@ -263,8 +289,7 @@ def test_fingerprints_do_not_depend_on_order_and_can_be_edited():
 @pytest.mark.parametrize("n", [100, 50_000, 65_536, 140_000])
 def test_likeness_of_runs_repeated_often(n):
     """The edited third holds a run that the text has not: squares of 2 n n apart in 14 n n."""
-    hashes = multiset_hash.WordHashes()
-    whole, edited = (multiset_hash.fingerprint(t, hashes) for t in ("a b c\n" * (3 * n), "a b c\n" * (2 * n) + "d e f\n" * n))
+    whole, edited = (multiset_hash.fingerprint(t) for t in ("a b c\n" * (3 * n), "a b c\n" * (2 * n) + "d e f\n" * n))
     assert multiset_hash.Fingerprint.read(whole.text()).likeness(edited) == pytest.approx(6 / 7, abs=1e-4)
     assert np.array_equal((whole - edited + edited).like, whole.like)
 
@@ -299,6 +324,13 @@ def test_near_duplicates(spark, docs, rows, none, size):
         assert set_sketch.near_duplicates(none).count() == 0
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, a + " more"), (9, b + " more"), (9, None), (None, a), (2, "alone")]
+    got = set_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (7, 3), (8, 3), (9, 3), (9, 9), (None, None), (2, 2)}
+
+
 def test_chains_across_a_bucket_keep_every_link(spark):
     """Each text is like the next alone, so hubs alone would not do."""
     words = [f"w{i}" for i in range(400)]
@@ -379,6 +411,34 @@ def test_page_differencing(spark):
     assert page_diff.extract(df.where("false")).count() == 0
 
 
+def test_page_differencing_equals_pairing_by_hand(spark):
+    rng = random.Random(8)
+    site = [f"<div>site {i}</div>" for i in range(4)]
+    rows = []
+    for k in range(60):
+        body = "".join(rng.sample(site, rng.randrange(4))) + "".join(f"<p>line {rng.randrange(30)}</p>" for _ in range(rng.randrange(5)))
+        if rng.random() < 0.5:
+            body += f"<article><p>story {rng.randrange(4)}</p></article>"
+        rows.append((k, f"http://{rng.choice('AbB')}.org/{rng.choice(['x', 'y/z', ''])}{rng.randrange(40)}", body))
+    rows += [rows[5], (None, rows[7][1], rows[7][2]), (60, "http://a.org/" + "x" * 5000, "<p>" + "long " * 50000 + "</p>")]
+    order = sorted(rows, key=lambda r: (r[1].split("/")[2].lower(), r[1].split("/", 3)[3], 2**63 if r[0] is None else r[0]))
+    want = []
+    for k, (i, url, html) in enumerate(order):
+        host, path = url.split("/")[2].lower(), "/" + url.split("/", 3)[3]
+        beside = [order[j] for j in (k - 1, k + 1) if 0 <= j < len(order) and order[j][1].split("/")[2].lower() == host]
+        match = lambda r: len(os.path.commonprefix([path, "/" + r[1].split("/", 3)[3]]))  # noqa: B023, E731
+        near = page_diff.lines_of(max(beside, key=match)[2]) if beside else []
+        own = page_diff.lines_of(html)
+        shared_lines = {a for a, _ in page_diff.common_lines([x for x, _ in own], [x for x, _ in near])}
+        story = [a for a, (_, place) in enumerate(own) if place == 2]
+        rest = [a for a, (_, place) in enumerate(own) if place == 0 and a not in shared_lines and (near or not story)]
+        keep = sorted(story + rest) or [a for a, (_, place) in enumerate(own) if place == 0]
+        want.append((i, "\n".join(own[a][0] for a in keep)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for ranges in (1, 5):
+        assert sorted(((r["page_id"], r["text"]) for r in page_diff.extract(df, ranges).collect()), key=str) == sorted(want, key=str)
+
+
 def test_language(spark, none):
     rng = random.Random(9)
     vocab = {"en": "the of and with this that from have".split(), "de": "der die und nicht mit auch sich über".split(), "es": "el los que para está año muy también".split()}
@@ -398,6 +458,13 @@ def test_language(spark, none):
     assert lang_id.identify(none).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not there")
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in lang_id.identify(docs).where(lang_id.held_out(F.col("doc_id"))).collect() if r["lang"] and r["text"]]
+    assert len(rows) > 30 and sum(r["_lang"]["lang"] == r["lang"] for r in rows) >= 0.98 * len(rows)
+
+
 def test_language_counts_words_outside_the_broadcast_ones(spark):
     """However few words are broadcast, every trained word and n-gram counts, and shares are of
     all that a language trained; held against plain counts."""
@@ -458,9 +525,9 @@ def test_language_backs_off_to_shorter_grams():
 def test_bpe_equals_the_library(spark, docs, rows, none):
     from tokenizers import Tokenizer
 
-    library, own = Tokenizer.from_file(WORD_BPE), bpe_automaton.WordBpe(WORD_BPE)
+    library, own = Tokenizer.from_file(WORD_BPE), bpe_automaton.WordBpe(bpe_automaton.bpe_file(WORD_BPE))
     rng = random.Random(5)
-    letters = " \n\t\r  .a'sbeéÉéßΣσİ١3<|endoftext|>|<😀日本語　\x1c \x85‍''lvermd!!..--ing"
+    letters = " \n\t\r\v\f  .a'sbeéÉéßΣσİ١3<|endoftext|>|<😀日本語　\x1c \x85‍''lvermd!!..--ing"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [r[1] or "" for r in rows] + ["a<|endoftext|>b<|startoftext|>", "x" * 3000, "aaaa" * 50]
     for t, ids in zip(texts, own.encode(texts), strict=True):
         want = library.encode(t, add_special_tokens=False).ids
