@@ -6,10 +6,11 @@ aligned by a longest common subsequence; lines that both have are the site's, no
 
 Differencing alone cannot give right results where neighbours share real content (licence
 lines, copied articles, sentences that one page has as an advert) or where menus differ from
-page to page, so it is bound by markup: elements that are no content by their kind, role or
-class go in any case, and where a page marks an ``article`` (else ``main``) element, its lines
-are the text. Shared lines are deleted where a page marks neither; a page whose lines are all
-shared is a copy of its neighbour and keeps them.
+page to page, so markup goes first: elements that are no content by their kind, role or class
+go, and the lines of an ``article`` (where a page has none, of ``main``) stay. Differencing
+decides all other lines: what a page shares with its neighbour goes, the rest stays. A page
+that marks no content and whose lines are all shared is a copy of its neighbour and keeps them;
+a page with content marked and no neighbour keeps that alone.
 
 Rules for odd input: null and empty pages give the empty text; a page without a neighbour on
 its host is judged by its markup; repeated rows are neighbours and alike; null urls are one
@@ -165,11 +166,14 @@ def common_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 def main_text(own: list[tuple[str, int]], near: list[tuple[str, int]] | None) -> str:
     """The lines of a page that are its own, given those of its neighbour."""
     best = max((place for _, place in own), default=0)
-    content = [i for i, (_, place) in enumerate(own) if place == best and best >= 0]
-    if near and best == 0:
+    marked = {i for i, (_, place) in enumerate(own) if place == best > 0}
+    open_lines = [i for i, (_, place) in enumerate(own) if place == 0]
+    if open_lines and near:
         shared = {i for i, _ in common_lines([x for x, _ in own], [x for x, _ in near])}
-        content = [i for i in content if i not in shared] or content
-    return "\n".join(own[i][0] for i in content)
+        content = marked.union(i for i in open_lines if i not in shared) or open_lines
+    else:
+        content = marked or open_lines
+    return "\n".join(own[i][0] for i in sorted(content))
 
 
 def _agreement(a: str, b: str) -> int:
@@ -210,7 +214,7 @@ def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    n = ranges or 4 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     url = F.coalesce("url", F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -219,5 +223,5 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
         F.lower(F.regexp_extract(url, r"^[^:/?#]+://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^(?:[^:/?#]+://[^/?#]*)?([^?#]*)", 1).alias("path"),
     )
-    key = [F.col("host"), F.col("path"), F.coalesce("page_id", F.lit(2**63 - 1)), F.sha2(F.coalesce("html", F.lit("")), 256)]
+    key = [F.col("host"), F.col("path"), F.coalesce("page_id", F.lit(2**63 - 1)), F.xxhash64("html")]
     return in_order(rows, key, n, both_sides=True).select("_range", "_side", "host", "path", "page_id", "url", "html").mapInPandas(_rows, SCHEMA)
