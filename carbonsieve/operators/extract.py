@@ -119,10 +119,6 @@ def with_text_fallback(documents: DataFrame, from_tables: DataFrame, from_text:
     return out.withColumn("error", F.when(F.col("result").isNull(), F.concat(F.lit("No emissions data found for "), "name")))
 
 
-def text_for_model(text: Column) -> Column:
-    return capped(text)
-
-
 def complete(result: Column) -> Column:
     """A company is saved all or not at all: every entry needs its year."""
     return F.forall(result["emissions"], lambda e: e["reporting_year"].isNotNull())

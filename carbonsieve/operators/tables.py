@@ -120,19 +120,25 @@ def _strings(node: list, skip: frozenset | set = frozenset()) -> list[str]:
     return found
 
 
-def table_to_markdown(table: list) -> str | None:
-    rows = [["".join(_strings(c)) for c in _nodes(r, {"td", "th"})] for r in _nodes(table, {"tr"})]
-    rows = [r for r in rows if any(r)]
-    if not rows:
-        return None
-    n = len(rows[0])
-    lines = [rows[0], ["---"] * n, *[(r + [""] * n)[:n] for r in rows[1:]]]
-    return "\n".join("| " + " | ".join(line) + " |" for line in lines)
+def table_grid(table: list) -> list[list[str]]:
+    """The texts of a table's cells, without rows that have none."""
+    rows = (["".join(_strings(cell)) for cell in _nodes(row, {"td", "th"})] for row in _nodes(table, {"tr"}))
+    return [row for row in rows if any(row)]
 
 
-@pandas_udf(STRINGS)
-def html_table_blocks(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: [m for t in _nodes(parse(h), {"table"}) if (m := table_to_markdown(t)) is not None])
+def grid_to_markdown(grid: Column) -> Column:
+    """Rows of cells as a markdown table as wide as its first row, which is the header: short
+    rows are filled up with empty cells, long ones cut."""
+    width = F.size(F.get(grid, F.lit(0)))
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+    fitted = F.transform(grid, lambda row: line(F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.coalesce(F.get(row, i), F.lit("")))))
+    rule = line(F.array_repeat(F.lit("---"), width))
+    return F.array_join(F.concat(F.slice(fitted, 1, 1), F.array(rule), F.slice(fitted, 2, F.size(grid))), "\n")
+
+
+@pandas_udf(ArrayType(ArrayType(STRINGS)))
+def html_table_grids(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: [grid for t in _nodes(parse(h), {"table"}) if (grid := table_grid(t))])
 
 
 @pandas_udf(StringType())
@@ -147,19 +153,19 @@ def html_text(html: Column, size: int = 50_000) -> Column:
 
 def html_tables(pages: DataFrame, tasks: int | None = None) -> DataFrame:
     """page_id, table_index, markdown. Pages differ much in size: with ``tasks`` they are dealt
-    out anew before parsing."""
+    out anew before parsing. Rows and cells that a page leaves open are closed, not nested."""
     dealt = pages.repartition(tasks) if tasks else pages
-    return dealt.select("page_id", F.posexplode(html_table_blocks(F.col("html"))).alias("table_index", "markdown"))
+    grids = dealt.select("page_id", F.posexplode(html_table_grids(F.col("html"))).alias("table_index", "grid"))
+    return grids.select("page_id", "table_index", grid_to_markdown(F.col("grid")).alias("markdown"))
 
 
 def sheet_tables(cells: DataFrame) -> DataFrame:
     """Grids of cells (doc_id, sheet_no, row_no, col_no, value) to markdown; the first row is
-    the header, sheets without further rows are left out."""
-    line = lambda a: F.concat(F.lit("| "), F.array_join(F.transform(F.array_sort(a), lambda c: F.coalesce(c["value"], F.lit(""))), " | "), F.lit(" |"))
-    rows = cells.groupBy("doc_id", "sheet_no", "row_no").agg(F.collect_list(F.struct("col_no", "value")).alias("r"))
-    rows = rows.select("doc_id", "sheet_no", "row_no", line(F.col("r")).alias("line"), F.size("r").alias("width"))
-    sheets = rows.groupBy("doc_id", "sheet_no").agg(F.array_sort(F.collect_list(F.struct("row_no", "line", "width"))).alias("r")).where("size(r) > 1")
-    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.col("r")[0]["width"]), " | "), F.lit(" |"))
-    body = F.transform(F.slice("r", 2, F.size("r") - 1), lambda x: x["line"])
-    markdown = F.array_join(F.concat(F.array(F.col("r")[0]["line"], rule), body), "\n")
-    return sheets.select("doc_id", "sheet_no", markdown.alias("markdown"))
+    the header, sheets without further rows are left out. Cells that are not there are empty: a
+    sheet is as wide as its last column."""
+    rows = cells.groupBy("doc_id", "sheet_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "value"))).alias("r"))
+    sheets = rows.groupBy("doc_id", "sheet_no").agg(F.array_sort(F.collect_list(F.struct("row_no", F.col("r.col_no").alias("at"), F.col("r.value").alias("values")))).alias("r"), F.max(F.array_max("r.col_no")).alias("last"))
+    sheets = sheets.where("size(r) > 1")
+    value = lambda row, i: F.get(row["values"], F.array_position(row["at"], i).cast("int") - 1)
+    grid = F.transform("r", lambda row: F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: value(row, i)))
+    return sheets.select("doc_id", "sheet_no", grid_to_markdown(grid).alias("markdown"))

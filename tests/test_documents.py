@@ -1,5 +1,6 @@
 from carbonsieve.operators import extract, tables
 from carbonsieve.sources import schemas
+from carbonsieve.sources import tables as io
 
 
 def test_piped_runs():
@@ -20,13 +21,13 @@ def test_tables_are_numbered_over_pages(spark):
 HTML = "<table><tr><th>A</th><th>B</th></tr><tr><td></td><td> </td></tr><tr><td>1</td></tr><tr><td>2</td><td>3</td><td>4</td></tr></table>"
 
 
-def one(html):
-    return [tables.table_to_markdown(t) for t in tables._nodes(tables.parse(html), {"table"})]
+def test_html_tables(spark):
+    def one(html):
+        rows = tables.html_tables(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("table_index").collect()
+        return [r["markdown"] for r in rows]
 
-
-def test_html_tables():
     assert one(HTML) == ["| A | B |\n| --- | --- |\n| 1 |  |\n| 2 | 3 |"]
-    assert one("<table></table>") == [None]
+    assert one("<table></table>") == [] == one(None)
     assert one("<table><tr><td>a<td>b &amp; c<tr><td>d</table>") == ["| a | b & c |\n| --- | --- |\n| d |  |"]
     nested = one("<table><tr><td>x<table><tr><td>y</td></tr></table></td></tr></table>")
     assert nested[1] == "| y |\n| --- |" and "y" in nested[0]
@@ -45,6 +46,23 @@ def test_sheets(spark):
     assert got == [(1, 0, "| h1 | h2 |\n| --- | --- |\n| a |  |\n|  | d |")]
 
 
+def test_sparse_sheets(spark):
+    cells = [(1, 0, 0, 0, "A"), (1, 0, 0, 2, "C"), (1, 0, 1, 0, "x"), (1, 0, 1, 2, "z"), (1, 0, 2, 1, "y"), (1, 0, 5, 3, "last")]
+    got = [tuple(r) for r in tables.sheet_tables(spark.createDataFrame(cells, schemas.CELLS)).collect()]
+    assert got == [(1, 0, "| A |  | C |  |\n| --- | --- | --- | --- |\n| x |  | z |  |\n|  | y |  |  |\n|  |  |  | last |")]
+
+
+def test_seed_pages_and_appended_records(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text(",".join(f.name for f in schemas.SEED) + "\n" + ",".join("1" for _ in schemas.SEED) + "\n")
+    assert io.read_seed(spark, str(tmp_path / "seed.csv")).count() == 1
+    (tmp_path / "page.html").write_text(HTML)
+    assert [r["html"] for r in io.read_html(spark, str(tmp_path / "page.html")).collect()] == [HTML]
+    rows = spark.createDataFrame([(1, 7, 2020), (2, 7, 2021)], "id long, company_id long, reporting_year int")
+    for _ in range(2):
+        io.append_records(rows, str(tmp_path / "records"))
+    assert sorted((r["id"], r["reporting_year"]) for r in spark.read.parquet(str(tmp_path / "records")).collect()) == [(1, 2020), (1, 2020), (2, 2021), (2, 2021)]
+
+
 def test_ranked_results_are_stable(spark):
     rows = [(1, 0, "h/a", "A"), (1, 1, "h/b.pdf", ""), (1, 2, "h/c", None), (1, 3, "h/d.PDF", "D")]
     df = spark.createDataFrame(rows, schemas.SEARCH_RESULTS)
