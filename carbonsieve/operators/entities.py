@@ -88,28 +88,50 @@ def resolve(candidates: DataFrame) -> DataFrame:
     return best_match(scored(first_per_lei(candidates)))
 
 
-def block_by_token(companies: DataFrame, registry: DataFrame) -> DataFrame:
-    """Candidates from a whole registry: every active entity that shares a significant word.
-
-    It finds all entities with a similarity above zero, and so not those that a remote search
-    may return with none. Entities without a common word of their own never meet. Word lists
-    are made once per name; the pairs carry only ids until they are distinct.
-
-    Lossless pruning: a pair of similarity s has at least s * max(a, b) words in common, so
-    nothing is cut here; very frequent words make large joins on one key, which Spark's skew
-    join splits, as both sides are dealt by the word alone.
-    """
-    own = companies.select(F.col("id").alias("company_id"), F.explode(t.significant_words(F.col("name"))).alias("token"))
-    theirs = registry.where("status = 'ACTIVE'").select("lei", F.explode(t.significant_words(F.col("legal_name"))).alias("token"))
-    pairs = own.join(theirs, "token").select("company_id", "lei").distinct()
-    names = companies.select(F.col("id").alias("company_id"), F.col("name").alias("search_name"))
-    entities = registry.where("status = 'ACTIVE'").select("lei", "legal_name", "country")
-    return pairs.join(names, "company_id").join(entities, "lei").withColumns({"query_no": F.lit(0), "pos": F.lit(0)})
+def _words_by_rarity(companies: DataFrame, entities: DataFrame) -> DataFrame:
+    """key, is_company, country, words: the words of each name, the rarest of all names first."""
+    own = companies.select(F.col("id").cast("string").alias("key"), F.lit(True).alias("is_company"), F.lit(None).cast("string").alias("country"), t.significant_words(F.col("name")).alias("w"))
+    theirs = entities.select(F.col("lei").alias("key"), F.lit(False).alias("is_company"), "country", t.significant_words(F.col("legal_name")).alias("w"))
+    rows = own.unionByName(theirs).select("key", "is_company", "country", F.explode("w").alias("word"))
+    counted = rows.join(rows.groupBy("word").agg(F.count("*").alias("n")), "word")
+    words = F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"])
+    return counted.groupBy("key", "is_company").agg(F.max("country").alias("country"), words.alias("words"))
+
+
+def _best_of_share(own: DataFrame, theirs: DataFrame, tenths: int) -> DataFrame:
+    """key and best (similarity, lei) of companies that have an entity of so many tenths.
+
+    Two names of that similarity share one of the rarest words of both, as at least so many
+    tenths of the longer one's words are common: all but that many (and one) are compared."""
+    n = F.size("words")
+    rarest = F.slice("words", F.lit(1), n - F.floor((tenths * n + 9) / 10).cast("int") + 1)
+    left = own.select("key", F.col("words").alias("own_words"), F.explode(rarest).alias("word"))
+    right = theirs.select("lei", "words", F.explode(rarest).alias("word"))
+    similarity = t.set_similarity(F.col("own_words"), F.col("words"))
+    pairs = left.join(right, "word").select("key", "lei", similarity.alias("similarity")).where((F.col("similarity") > 0) & (F.col("similarity") >= tenths / 10))
+    return pairs.groupBy("key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "lei")).alias("best"))
 
 
 def resolve_by_registry(companies: DataFrame, registry: DataFrame) -> DataFrame:
-    """Registry mode: ties go to the lowest LEI, as there is no order of hits."""
-    return best_match(scored(block_by_token(companies, registry)))
+    """One match per company that has one, from a whole registry: of the active entities in an
+    allowed country with a common significant word the one of the best tier and similarity; ties
+    go to the lowest LEI, as there is no order of hits.
+
+    Tiers are tried from the best, each for the companies still open and by the rarest words
+    that its similarity leaves, so frequent words join nothing but the names that have little
+    else. A pair carries words and ids; names are joined to the matches alone."""
+    entities = registry.where("status = 'ACTIVE'").where(t.country_allowed(F.col("country")))
+    names = _words_by_rarity(companies, entities)
+    own, theirs = names.where("is_company"), names.where("not is_company").select(F.col("key").alias("lei"), "words")
+    found = None
+    for tenths in (5, 3, 0):
+        more = _best_of_share(own, theirs, tenths)
+        found = more if found is None else found.unionByName(more)
+        own = own.join(more.select("key"), "key", "left_anti")
+    matched = found.select(F.col("key"), F.col("best.lei").alias("lei"))
+    searched = companies.select(F.col("id").alias("company_id"), F.col("name").alias("search_name"), F.col("id").cast("string").alias("key"))
+    hits = matched.join(searched, "key").join(entities.select("lei", "legal_name", "country"), "lei").drop("key")
+    return scored(hits.withColumns({"query_no": F.lit(0), "pos": F.lit(0)}))
 
 
 def match_columns(matches: DataFrame) -> DataFrame:

@@ -34,15 +34,29 @@ def in_listing_order(df: DataFrame) -> DataFrame:
 
 
 def prior_years(records: DataFrame, most: int = 3) -> DataFrame:
-    """Adds ``prior``: the company's last records of strictly earlier years, oldest first.
-
-    A record's history is cut to its last entries at once; the window holds a company's records
-    only (tens of rows), in the fixed order (year, extraction date, id)."""
-    w = Window.partitionBy("company_id").orderBy("reporting_year").rangeBetween(Window.unboundedPreceding, -1)
-    entry = F.struct("reporting_year", "extraction_date", "id", "scope_1", "scope_2_location", "scope_3")
-    history = F.array_sort(F.collect_list(entry).over(w))
+    """Adds ``prior``: the company's last records of strictly earlier years, oldest first, in the
+    fixed order (year, extraction date, id).
+
+    Only the last records of each year can be among them, so a company's years are cut to those
+    first, and of earlier years as many as there are records to find are looked at."""
+    entry = F.struct("reporting_year", "extraction_date", "id", "scope_1", "scope_2_location", "scope_3").alias("entry")
+    latest = Window.partitionBy("company_id", "reporting_year").orderBy(F.col("extraction_date").desc(), F.col("id").desc())
+    top = records.where("company_id is not null and reporting_year is not null").withColumn("_n", F.row_number().over(latest)).where(F.col("_n") <= most)
+    years = top.groupBy("company_id", "reporting_year").agg(F.collect_list(entry).alias("entries"))
+    before = Window.partitionBy("company_id").orderBy("reporting_year").rowsBetween(-most, -1)
+    history = F.array_sort(F.flatten(F.collect_list("entries").over(before)))
     last = F.slice(history, F.greatest(F.size(history) - most + 1, F.lit(1)), most)
-    return records.withColumn("prior", last)
+    found = years.select(F.col("company_id").alias("_c"), F.col("reporting_year").alias("_y"), last.alias("prior"))
+    both = records.join(found, (F.col("company_id") == F.col("_c")) & (F.col("reporting_year") == F.col("_y")), "left").drop("_c", "_y")
+    return both.withColumn("prior", F.coalesce("prior", F.array().cast(found.schema["prior"].dataType)))
+
+
+def prior_display(records: DataFrame) -> DataFrame:
+    """The prior records one to a row, (id, prior_id, prior_year and numbers as they are shown
+    in the list of prior years, where a zero counts as missing)."""
+    rows = records.select("id", F.explode("prior").alias("p"))
+    shown = [t.shown_prior(F.col(f"p.{c}")).alias(f"{c}_text") for c in ("scope_1", "scope_2_location", "scope_3")]
+    return rows.select("id", F.col("p.id").alias("prior_id"), F.col("p.reporting_year").alias("prior_year"), *shown)
 
 
 def display(records: DataFrame) -> DataFrame:

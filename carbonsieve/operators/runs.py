@@ -15,6 +15,11 @@ def outcomes(companies: DataFrame, records: DataFrame, errors: DataFrame) -> Dat
     return rows.withColumns({"status": F.when(F.col("error").isNull(), "success").otherwise("failed"), "records": F.coalesce("records", F.lit(0))})
 
 
+def failures(results: DataFrame) -> DataFrame:
+    """The log as rows (ord, line) in processing order: for runs whose log is too long for a cell."""
+    return results.where("error is not null").select("ord", F.concat("name", F.lit(": "), "error").alias("line")).orderBy("ord")
+
+
 def account(results: DataFrame) -> DataFrame:
     """One row from (ord, name, error): totals and the log of errors in processing order. Only
     failures are collected into the log, which is the feature."""

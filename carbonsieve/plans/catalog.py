@@ -234,10 +234,10 @@ def best_lei_registry(spark, d):
     return entities.resolve_by_registry(frame(spark, d, "fx_seed"), frame(spark, d, "fx_registry")).select(*MATCH_COLS)
 
 
-@query("unseen_companies", "select name, id from fx_seed where name not in (select distinct p_name from part where p_partkey%4=1)")
+@query("unseen_companies", "select name, id from fx_seed where name not in (select distinct p_name from part)")
 def unseen_companies(spark, d):
     """J1."""
-    known = spark.read.parquet(f"{d}/part.parquet").where("p_partkey % 4 = 1").select(F.col("p_name").alias("name"))
+    known = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_name").alias("name"))
     return entities.unseen(frame(spark, d, "fx_seed"), known).select("name", "id")
 
 
@@ -397,6 +397,34 @@ def html_text_lines(spark, d):
     return spark.read.parquet(f"{d}/pages.parquet").select("page_id", tables.html_text(F.col("html")).alias("text"))
 
 
+@query(
+    "html_text_fragments",
+    "select p_partkey as page_id, p_name || chr(10) || p_type || ' & ' || p_brand || chr(10) || 'Size' || chr(10) || p_size || chr(10) || 'end' as text from part",
+)
+def html_text_fragments(spark, d):
+    """E5: the text of pages with what is dropped (scripts, styles, menus, heads and feet)."""
+    p = spark.read.parquet(f"{d}/part.parquet")
+    html = F.concat(
+        F.lit("<html><body><header>top <b>x</b></header><nav><a href='#'>menu</a></nav><h1> "), "p_name", F.lit(" </h1><script>var a = '<p>no</p>';</script><p>"), "p_type", F.lit(" &amp; "), "p_brand",
+        F.lit("</p><style>p {}</style><ul><li>Size<li> "), F.col("p_size").cast("string"), F.lit("</ul>\n<div>end</div><footer>foot</footer></body></html>"),
+    )
+    return p.select(F.col("p_partkey").alias("page_id"), tables.html_text(html).alias("text"))
+
+
+@query(
+    "sheet_tables_sparse",
+    """with g as (select distinct doc_id, sheet_no, row_no, c.i as col_no from fx_cells cross join (select 0 i union all select 1 union all select 2) c),
+f as (select g.*, x.value from g left join fx_cells x on x.doc_id=g.doc_id and x.sheet_no=g.sheet_no and x.row_no=g.row_no and x.col_no=g.col_no and (g.row_no+g.col_no+g.doc_id)%3<>0),
+r as (select doc_id, sheet_no, row_no, '| ' || string_agg(coalesce(value,''), ' | ' order by col_no) || ' |' line from f group by 1,2,3),
+k as (select doc_id, sheet_no, row_no from fx_cells where (row_no+col_no+doc_id)%3<>0 group by 1,2,3),
+n as (select r.*, row_number() over (partition by r.doc_id, r.sheet_no order by r.row_no) k, count(*) over (partition by r.doc_id, r.sheet_no) c from r join k on k.doc_id=r.doc_id and k.sheet_no=r.sheet_no and k.row_no=r.row_no)
+select doc_id, sheet_no, string_agg(case when k=1 then line || chr(10) || '| --- | --- | --- |' else line end, chr(10) order by k) as markdown from n where c>1 group by 1,2""",
+)
+def sheet_tables_sparse(spark, d):
+    """E4 where a third of all cells, in the header, the middle and at the end, are not stored."""
+    return tables.sheet_tables(frame(spark, d, "fx_cells").where("(row_no + col_no + doc_id) % 3 <> 0"))
+
+
 @query(
     "html_tables",
     "select p_partkey as page_id, 0 as table_index, '| Item | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || p_name || ' | ' || p_size || ' |' || chr(10) || '| ' || p_type || ' |  |' as markdown from part",
@@ -534,6 +562,36 @@ def prior_years(spark, d):
     return review.prior_years(_records(spark, d)).select("id", F.array_join(shown, ",").alias("prior"))
 
 
+@query(
+    "prior_display",
+    f"""with pr as (select a.id, b.id bid, b.reporting_year, b.scope_1, b.scope_2_location, b.scope_3, row_number() over (partition by a.id order by b.reporting_year desc, b.extraction_date desc, b.id desc) n from fx_records a join fx_records b on a.company_id=b.company_id and b.reporting_year<a.reporting_year)
+select id, bid as prior_id, reporting_year as prior_year, {", ".join(f"case when {c} <> 0 then {NUM.format(c)} else '—' end as {c}_text" for c in ("scope_1", "scope_2_location", "scope_3"))} from pr where n<=3""",
+)
+def prior_display(spark, d):
+    """Prior years as they are listed, where a zero shows as a dash."""
+    return review.prior_display(review.prior_years(_records(spark, d)))
+
+
+@query("lei_key_clashes", "select legal_name, k%100 as part, count(*)::bigint as n from (select * from fx_registry where lei is not null) where country<>'' group by 1,2 having count(*)>1 union all select lei, -1, count(*)::bigint from fx_registry group by 1 having count(*)>1")
+def lei_key_clashes(spark, d):
+    """LEIs must be unique; and a key of several columns."""
+    rows = frame(spark, d, "fx_registry")
+    twice = schemas.key_violations(rows.where("country <> ''").select("legal_name", (F.col("k") % 100).alias("part")), ["legal_name", "part"])
+    return twice.unionByName(schemas.key_violations(rows, ["lei"]).select(F.col("lei").alias("legal_name"), F.lit(-1).cast(rows.schema["k"].dataType).alias("part"), "n"))
+
+
+@query("record_key_clashes", "select company_id, reporting_year, source_id, count(*)::bigint as n from fx_records where company_id is not null and reporting_year is not null and source_id is not null group by 1,2,3 having count(*)>1")
+def record_key_clashes(spark, d):
+    """The key of a record, with all three of its columns."""
+    return schemas.key_violations(_records(spark, d), ["company_id", "reporting_year", "source_id"])
+
+
+@query("run_failures", "select ord, name || ': ' || error as line from fx_runs where error is not null")
+def run_failures(spark, d):
+    """A4: the log of a run as rows."""
+    return runs.failures(frame(spark, d, "fx_runs"))
+
+
 def _sql_shown(col: str) -> str:
     return f"case when {col} is not null then {NUM.format(col)} else '—' end"
 
