@@ -5,8 +5,7 @@ columns of ``docs``. ``run`` writes the result of each stage to the shared folde
 for the next, so a lost executor costs at most the stage that it was in.
 
 No SQL can state the result, as language identification and near-duplicates are no relational
-terms; the tests check columns, ids and counts of the stages, and hold the operators behind
-them against plain versions.
+terms; a test holds the rows of ``run`` against the stages done by hand on a small table.
 """
 
 from __future__ import annotations
