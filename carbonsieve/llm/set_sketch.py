@@ -242,6 +242,8 @@ def _block_links(left: DataFrame, texts: DataFrame, size: int, percent: int) ->
     sizes = left.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("size"))
     plan = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), (F.max("size") - F.max("c")).alias("outside"), F.max("size").alias("all"))
     plan = plan.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("outside") / PROBES).cast("int").alias("turns"))
+    # written first: joined to its own groups, a frequent key could not be split
+    plan = small_side(written(plan, "large-plans"))
     rows = written(left.select("key", "node", "component").join(plan, "key"), "large-buckets")
     share = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
