@@ -391,9 +391,15 @@ def sheet_tables(spark, d):
     return tables.sheet_tables(frame(spark, d, "fx_cells"))
 
 
-@query("html_text_lines")
+@query(
+    "html_text_lines",
+    r"""with bare as (select page_id, regexp_replace(html, '(?is)<!--.*?-->|<style.*?</style>|<script.*?</script>|<nav.*?</nav>|<footer.*?</footer>|<header.*?</header>', '<br>', 'g') as h from pages),
+parts as (select page_id, list_transform(regexp_split_to_array(h, '<[^>]*>'), lambda s: trim(regexp_replace(replace(replace(replace(s, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), ' ' || chr(9) || chr(10) || chr(13))) as p from bare)
+select page_id, substring(array_to_string(list_filter(p, lambda s: s <> ''), chr(10)), 1, 50000) as text from parts""",
+)
 def html_text_lines(spark, d):
-    """The text of whole pages, capped as the feature has it."""
+    """The text of whole pages, capped as the feature has it. The SQL splits at tags and
+    decodes the character references that these pages have in their text."""
     return spark.read.parquet(f"{d}/pages.parquet").select("page_id", tables.html_text(F.col("html")).alias("text"))
 
 
