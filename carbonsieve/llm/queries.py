@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, period_runs, set_sketch, token_blocks, warc, weak_pii
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, period_runs, set_sketch, suffix_search, token_blocks, warc, weak_pii
 from .shared import shared_dir, small_batches
 
 
@@ -83,6 +83,12 @@ def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_runs.digest_columns(docs.select("doc_id", period_runs.repetitions(F.col("text")).alias("found")))
 
 
+def op12_suffix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = suffix_search.item_blocks(_table(spark, sf_dir, "benchmark"))
+    docs = _table(spark, sf_dir, "documents", **LARGE)
+    return suffix_search.digest_columns(docs.select("doc_id", suffix_search.searched(F.col("text"), blocks).alias("found")))
+
+
 OP7_SQL = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
@@ -92,8 +98,8 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op4_weak_pii": op4_weak_pii, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton, "op11_period_runs": op11_period_runs}
+    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op4_weak_pii": op4_weak_pii, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton, "op11_period_runs": op11_period_runs, "op12_suffix_search": op12_suffix_search}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE, "op7_exact_dedup": OP7_SQL, "op11_period_runs": period_runs.ORACLE}
+    return {"op6_mixing": mixing.ORACLE, "op7_exact_dedup": OP7_SQL, "op11_period_runs": period_runs.ORACLE, "op12_suffix_search": suffix_search.ORACLE}

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 
-def string_runs(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stretches(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where stretches of true values start and end (exclusive)."""
     steps = np.diff(np.concatenate([[False], kinds, [False]]).astype(np.int8))
     return np.flatnonzero(steps > 0), np.flatnonzero(steps < 0)
