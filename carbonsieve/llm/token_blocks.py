@@ -296,13 +296,15 @@ class ByteLevelEncoder:
         """Distinct pieces, many at a time: a line feed between them is a piece of its own."""
         out: list[bytes] = []
         for i in range(0, len(pieces), 4096):
-            ids = np.array(self._whole("\n".join(["." if p == "\n" else p for p in pieces[i : i + 4096]])), "<u4")
+            # nothing, or a line feed, between two dividers would be one piece with them
+            ids = np.array(self._whole("\n".join(["." if p in ("", "\n") else p for p in pieces[i : i + 4096]])), "<u4")
             cuts = np.flatnonzero(ids == self.divider)
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
             data = ids.tobytes()
             out += [data[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
-        if "\n" in pieces:
-            out[pieces.index("\n")] = struct.pack("<I", self.divider)
+        for piece, data in (("", b""), ("\n", struct.pack("<I", self.divider))):
+            if piece in pieces:
+                out[pieces.index(piece)] = data
         return out
 
     def _distinct(self, pieces: pa.Array) -> pa.Array:
