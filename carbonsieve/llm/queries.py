@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, period_runs, set_sketch, suffix_search, token_blocks, warc, weak_pii
+from . import bpe_automaton, exact_dedup, lang_id, mixing, multiset_hash, page_diff, period_runs, set_sketch, suffix_search, token_alignment, token_blocks, warc, weak_pii
 from .shared import shared_dir, small_batches
 
 
@@ -89,6 +89,11 @@ def op12_suffix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_search.digest_columns(docs.select("doc_id", suffix_search.searched(F.col("text"), blocks).alias("found")))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_alignment.alignments(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 OP7_SQL = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
@@ -98,7 +103,7 @@ FROM t
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op4_weak_pii": op4_weak_pii, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton, "op11_period_runs": op11_period_runs, "op12_suffix_search": op12_suffix_search}
+    return {"op1_set_sketch_dedup": op1_set_sketch_dedup, "op2_token_blocks": op2_token_blocks, "op3_warc": op3_warc, "op4_weak_pii": op4_weak_pii, "op5_multiset_fingerprints": op5_multiset_fingerprints, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup, "op8_page_differencing": op8_page_differencing, "op9_language_id": op9_language_id, "op10_bpe_automaton": op10_bpe_automaton, "op11_period_runs": op11_period_runs, "op12_suffix_search": op12_suffix_search, "op13_token_alignment": op13_token_alignment}
 
 
 def oracle_sql() -> dict[str, str]:
