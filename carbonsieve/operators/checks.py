@@ -140,11 +140,16 @@ def run_all_checks(records: DataFrame, current_year: int, low_confidence: int =
 def check_counts(records: DataFrame, current_year: int, low_confidence: int = LOW_CONFIDENCE) -> DataFrame:
     """One row: records flagged by each check (for year on year, its reasons), and how many
     records are flagged and pending in the end."""
-    reasoned = with_reasons(records, current_year, low_confidence)
+    return with_reasons(records, current_year, low_confidence).agg(*count_columns())
+
+
+def count_columns() -> list[Column]:
+    """The counts of ``check_counts`` over the rows of ``with_reasons``, for an aggregation or to
+    observe them while the rows are written."""
     touched = (
         F.col("range_reason").isNotNull() | F.col("unit_reason").isNotNull() | (F.size("yoy_reasons") > 0) | F.col("confidence_reason").isNotNull() | F.col("missing_reason").isNotNull()
     )
-    return reasoned.agg(
+    return [
         F.count_if(F.col("range_reason").isNotNull()).alias("range_flags"),
         F.count_if(F.col("unit_reason").isNotNull()).alias("unit_flags"),
         F.coalesce(F.sum(F.size("yoy_reasons").cast("long")), F.lit(0)).alias("yoy_flags"),
@@ -152,7 +157,7 @@ def check_counts(records: DataFrame, current_year: int, low_confidence: int = LO
         F.count_if(F.col("missing_reason").isNotNull()).alias("missing_flags"),
         F.count_if(touched | (F.col("review_status") == "flagged")).alias("flagged"),
         F.count_if(~touched & (F.col("review_status") == "pending")).alias("pending"),
-    )
+    ]
 
 
 def single_check(records: DataFrame, reason: Column) -> DataFrame:

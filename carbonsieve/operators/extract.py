@@ -124,12 +124,14 @@ def complete(result: Column) -> Column:
     return F.forall(result["emissions"], lambda e: e["reporting_year"].isNotNull())
 
 
-def flatten_results(results: DataFrame) -> DataFrame:
-    """One row per figure of complete results; other columns of ``results`` stay."""
+def flatten_results(results: DataFrame, position: str | None = None) -> DataFrame:
+    """One row per figure of complete results; other columns of ``results`` stay. ``position``
+    names a column for the figure's place in its result, from 0."""
     keep = [c for c in results.columns if c != "result"]
-    rows = results.where(complete(F.col("result"))).select(*keep, F.explode("result.emissions").alias("e"), F.col("result.methodology_notes").alias("_notes"), F.col("result.confidence_score").alias("confidence_score"))
+    rows = results.where(complete(F.col("result"))).select(*keep, F.posexplode("result.emissions").alias("_at", "e"), F.col("result.methodology_notes").alias("_notes"), F.col("result.confidence_score").alias("confidence_score"))
     return rows.select(
         *keep,
+        *([F.col("_at").alias(position)] if position else []),
         "e.reporting_year",
         "e.scope_1",
         "e.scope_2_location",

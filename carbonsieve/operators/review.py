@@ -59,6 +59,12 @@ def prior_display(records: DataFrame) -> DataFrame:
     return rows.select("id", F.col("p.id").alias("prior_id"), F.col("p.reporting_year").alias("prior_year"), *shown)
 
 
+def with_prior_shown(records: DataFrame) -> DataFrame:
+    """``prior`` with its numbers as the list of prior years shows them."""
+    texts = lambda p: [t.shown_prior(p[c]).alias(f"{c}_text") for c in ("scope_1", "scope_2_location", "scope_3")]
+    return records.withColumn("prior", F.transform("prior", lambda p: F.struct(p["id"].alias("id"), p["reporting_year"].alias("reporting_year"), *texts(p))))
+
+
 def display(records: DataFrame) -> DataFrame:
     """Numbers and bands as they are shown."""
     shown = {f"{c}_text": t.shown(F.col(c)) for c in SCOPE_LABELS}

@@ -43,11 +43,16 @@ def markdown_blocks(text: pd.Series) -> pd.Series:
     return text.map(piped_runs)
 
 
+def page_tables(pages: DataFrame) -> DataFrame:
+    """doc_id, page_no, pos, markdown: the tables of each page, numbered within the page; keeps no
+    state, so it runs on streams."""
+    return pages.select("doc_id", "page_no", F.posexplode(markdown_blocks(F.col("text"))).alias("pos", "markdown"))
+
+
 def markdown_tables(pages: DataFrame) -> DataFrame:
     """doc_id, table_index, markdown: the tables of all pages of a document in order."""
-    found = pages.select("doc_id", "page_no", F.posexplode(markdown_blocks(F.col("text"))).alias("pos", "markdown"))
     w = Window.partitionBy("doc_id").orderBy("page_no", "pos")
-    return found.select("doc_id", (F.row_number().over(w) - 1).alias("table_index"), "markdown")
+    return page_tables(pages).select("doc_id", (F.row_number().over(w) - 1).alias("table_index"), "markdown")
 
 
 class _Tree(HTMLParser):
@@ -97,6 +102,15 @@ def parse(html: str | None) -> list:
     return tree.root
 
 
+def read(html: str | None) -> tuple[list | None, str | None]:
+    """The tree of a page, or what the parser says against it: one page that cannot be read
+    must not fail the job for all others."""
+    try:
+        return parse(html), None
+    except (AssertionError, ValueError) as e:
+        return None, f"Page cannot be parsed: {e}"
+
+
 def _nodes(node: list, tags: set[str]) -> list:
     """All nodes of these tags in document order, nested ones too."""
     found, stack = [], [node]
@@ -138,34 +152,72 @@ def grid_to_markdown(grid: Column) -> Column:
 
 @pandas_udf(ArrayType(ArrayType(STRINGS)))
 def html_table_grids(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: [grid for t in _nodes(parse(h), {"table"}) if (grid := table_grid(t))])
+    """The grids of a page's tables; null where the page cannot be read."""
+    trees = html.map(lambda h: read(h)[0])
+    return trees.map(lambda tree: None if tree is None else [grid for t in _nodes(tree, {"table"}) if (grid := table_grid(t))])
 
 
 @pandas_udf(StringType())
 def _text_lines(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: "\n".join(_strings(parse(h), DROPPED)))
+    trees = html.map(lambda h: read(h)[0])
+    return trees.map(lambda tree: None if tree is None else "\n".join(_strings(tree, DROPPED)))
+
+
+@pandas_udf(StringType())
+def parse_error(html: pd.Series) -> pd.Series:
+    """Why a page cannot be read; null for all others."""
+    return html.map(lambda h: read(h)[1])
 
 
 def html_text(html: Column, size: int = 50_000) -> Column:
-    """The text fragments of a page, one to a line, capped."""
+    """The text fragments of a page, one to a line, capped; null where it cannot be read."""
     return capped(_text_lines(html), size)
 
 
 def html_tables(pages: DataFrame, tasks: int | None = None) -> DataFrame:
     """page_id, table_index, markdown. Pages differ much in size: with ``tasks`` they are dealt
-    out anew before parsing. Rows and cells that a page leaves open are closed, not nested."""
+    out anew before parsing. Rows and cells that a page leaves open are closed, not nested. Pages
+    that cannot be read have no tables; ``unreadable`` lists them."""
     dealt = pages.repartition(tasks) if tasks else pages
     grids = dealt.select("page_id", F.posexplode(html_table_grids(F.col("html"))).alias("table_index", "grid"))
     return grids.select("page_id", "table_index", grid_to_markdown(F.col("grid")).alias("markdown"))
 
 
+def unreadable(pages: DataFrame) -> DataFrame:
+    """page_id, error of the pages that cannot be read."""
+    return pages.select("page_id", parse_error(F.col("html")).alias("error")).where("error is not null")
+
+
+#: rows of a sheet that are put together before the sheet is
+RANGE_ROWS = 1000
+
+
+def row_line(cells: Column) -> Column:
+    """The line of a row from its cells (col_no, value) in order of their columns, without the
+    bar at its end. Columns that are not there are empty: each cell brings the bars between it and
+    the one before, so the work grows with the cells that are there."""
+    before = lambda i: F.coalesce(F.get(cells, i - 1)["col_no"], F.lit(0))
+    piece = F.transform(cells, lambda x, i: F.concat(F.repeat(F.lit(" | "), x["col_no"] - before(i)), F.coalesce(x["value"], F.lit(""))))
+    return F.concat(F.lit("| "), F.array_join(piece, ""))
+
+
 def sheet_tables(cells: DataFrame) -> DataFrame:
     """Grids of cells (doc_id, sheet_no, row_no, col_no, value) to markdown; the first row is
     the header, sheets without further rows are left out. Cells that are not there are empty: a
-    sheet is as wide as its last column."""
-    rows = cells.groupBy("doc_id", "sheet_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "value"))).alias("r"))
-    sheets = rows.groupBy("doc_id", "sheet_no").agg(F.array_sort(F.collect_list(F.struct("row_no", F.col("r.col_no").alias("at"), F.col("r.value").alias("values")))).alias("r"), F.max(F.array_max("r.col_no")).alias("last"))
-    sheets = sheets.where("size(r) > 1")
-    value = lambda row, i: F.get(row["values"], F.array_position(row["at"], i).cast("int") - 1)
-    grid = F.transform("r", lambda row: F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: value(row, i)))
-    return sheets.select("doc_id", "sheet_no", grid_to_markdown(grid).alias("markdown"))
+    sheet is as wide as its last column. Of several cells in one place the greatest value counts.
+
+    A large sheet is dealt out by ranges of rows, whose lines are in order when the sheet is put
+    together from them."""
+    sheet, part = ["doc_id", "sheet_no"], F.floor(F.col("row_no") / RANGE_ROWS).alias("part")
+    dealt = cells.select(*sheet, part, "row_no", "col_no", "value").repartition(*sheet, "part")
+    rows = dealt.groupBy(*sheet, "part", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "value"))).alias("all"))
+    last_in_place = lambda x, i: F.coalesce(F.get("all", i + 1)["col_no"] != x["col_no"], F.lit(True))
+    rows = rows.withColumn("cells", F.filter("all", last_in_place))
+    lines = rows.select(*sheet, "part", "row_no", row_line(F.col("cells")).alias("line"), F.element_at("cells", -1)["col_no"].alias("last"))
+    parts = lines.groupBy(*sheet, "part").agg(F.array_sort(F.collect_list(F.struct("row_no", "line", "last"))).alias("lines"), F.max("last").alias("last"))
+    sheets = parts.groupBy(*sheet).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "lines"))), lambda p: p["lines"])).alias("lines"), F.max("last").alias("last"))
+    full = F.transform("lines", lambda x: F.concat(x["line"], F.repeat(F.lit(" | "), F.col("last") - x["last"]), F.lit(" |")))
+    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.col("last") + 1), " | "), F.lit(" |"))
+    sheets = sheets.where("size(lines) > 1").select(*sheet, full.alias("full"), rule.alias("rule"))
+    whole = F.concat(F.slice("full", 1, 1), F.array("rule"), F.slice("full", F.lit(2), F.size("full")))
+    return sheets.select(*sheet, F.array_join(whole, "\n").alias("markdown"))

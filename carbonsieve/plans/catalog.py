@@ -578,18 +578,16 @@ def prior_display(spark, d):
     return review.prior_display(review.prior_years(_records(spark, d)))
 
 
-@query("lei_key_clashes", "select legal_name, k%100 as part, count(*)::bigint as n from (select * from fx_registry where lei is not null) where country<>'' group by 1,2 having count(*)>1 union all select lei, -1, count(*)::bigint from fx_registry group by 1 having count(*)>1")
+@query("lei_key_clashes", "select lei, count(*)::bigint as n from fx_resolved where lei is not null group by 1 having count(*)>1")
 def lei_key_clashes(spark, d):
-    """LEIs must be unique; and a key of several columns."""
-    rows = frame(spark, d, "fx_registry")
-    twice = schemas.key_violations(rows.where("country <> ''").select("legal_name", (F.col("k") % 100).alias("part")), ["legal_name", "part"])
-    return twice.unionByName(schemas.key_violations(rows, ["lei"]).select(F.col("lei").alias("legal_name"), F.lit(-1).cast(rows.schema["k"].dataType).alias("part"), "n"))
+    """A LEI is one company's. Here several names may have found the same entity."""
+    return schemas.key_violations(frame(spark, d, "fx_resolved"), ["lei"])
 
 
-@query("record_key_clashes", "select company_id, reporting_year, source_id, count(*)::bigint as n from fx_records where company_id is not null and reporting_year is not null and source_id is not null group by 1,2,3 having count(*)>1")
+@query("record_key_clashes", "select company_id, reporting_year, extraction_date, count(*)::bigint as n from fx_extracted group by 1,2,3 having count(*)>1")
 def record_key_clashes(spark, d):
     """The key of a record, with all three of its columns."""
-    return schemas.key_violations(_records(spark, d), ["company_id", "reporting_year", "source_id"])
+    return schemas.key_violations(frame(spark, d, "fx_extracted"), ["company_id", "reporting_year", "extraction_date"])
 
 
 @query("run_failures", "select ord, name || ': ' || error as line from fx_runs where error is not null")
@@ -721,3 +719,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
+from . import catalog_storage  # noqa: E402, F401  (registers its queries)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
     "fx_companies": "select c_custkey as id, c_name as name, concat('C',cast(c_custkey as string)) as ticker from customer where c_custkey%50<>7",
-    "fx_sources": """select page_id as id, page_id%50 as company_id, concat(url, case when page_id%5=1 then '/report.PDF?x=1' when page_id%5=2 then '/d.xlsx' when page_id%5=3 then '/r.pdf#p=2' else '' end) as url,
+    "fx_sources": """select page_id as id, page_id div 5 as company_id, concat(url, case when page_id%5=1 then '/report.PDF?x=1' when page_id%5=2 then '/d.xlsx' when page_id%5=3 then '/r.pdf#p=2' else '' end) as url,
  concat('Source ',cast(page_id as string)) as title from pages""",
     "fx_search": "select company_id, id as pos, url, title from fx_sources",
     "fx_records": """select o_orderkey as id, o_custkey as company_id, cast(year(o_orderdate)+20 as int) as reporting_year,
@@ -43,9 +43,11 @@ VIEWS = {
  else concat('{"emissions":[{"reporting_year":',cast(2015+p_partkey%8 as string),',"scope_1":',cast(p_retailprice as string),',"scope_3":null,"unit":"kt CO2e"},{',
  case when p_partkey%17=3 then '' else concat('"reporting_year":',cast(2016+p_partkey%8 as string),',') end,'"scope_1":',cast(p_size as string),'}],"methodology_notes":"note","confidence_score":',cast(p_size*2 as string),'}') end as response
  from part cross join (select 0 i union all select 1 union all select 2) t""",
-    "fx_cells": """select p_partkey%200 as doc_id, 0 as sheet_no, cast(p_partkey div 200 as int) as row_no, c.i as col_no,
+    "fx_cells": """select p_partkey div 100 as doc_id, 0 as sheet_no, cast(p_partkey%100 as int) as row_no, c.i as col_no,
  case c.i when 0 then p_name when 1 then p_brand else case when p_partkey%7=0 then null else cast(p_size as string) end end as value
  from part cross join (select 0 i union all select 1 union all select 2) c""",
+    "fx_resolved": "select p_partkey as id, p_name as name, case when p_partkey%11<>0 then concat('LEI',lpad(cast(p_partkey div 3 * (p_partkey%2) + p_partkey * (1-p_partkey%2) as string),17,'0')) end as lei from part",
+    "fx_extracted": "select o_orderkey as id, o_custkey div 10 as company_id, cast(year(o_orderdate)+20 as int) as reporting_year, date_trunc('month', o_orderdate) as extraction_date from orders",
     "fx_decisions": """select event_id as decision_id, event_id%3000 as record_id, ts as decided_at,
  case event_type when 'click' then 'approve' when 'error' then 'reject' when 'view' then 'flag' else 'edit' end as action,
  value-20 as new_scope_1, value*2 as new_scope_2_location, value*3 as new_scope_2_market, value-200 as new_scope_3,

@@ -20,9 +20,58 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, bounds: tuple[int, int], partitions: int = 64, properties: dict | None = None) -> DataFrame:
-    """A table read over as many connections as ``partitions``, cut by id."""
-    return spark.read.jdbc(url, table, column="id", lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions, properties=properties or {})
+def read_generations(spark: SparkSession, path: str, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
+    """Parquet files of several generations: a file that lacks a column gives the column's default
+    (or null), while nulls that a file holds stay nulls. Types are those of ``schema``.
+
+    The defaults go to the reader with the schema, so each file is read once and filters and
+    column selection reach it; no file's footer is looked at beforehand."""
+    told = {name: _sql_literal(v) for name, v in (defaults or {}).items()}
+    fields = [T.StructField(f.name, f.dataType, f.nullable, {"EXISTS_DEFAULT": told[f.name], "CURRENT_DEFAULT": told[f.name]} if f.name in told else None) for f in schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _sql_literal(value: str | bool | int | float) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower() if isinstance(value, bool) else repr(value)
+
+
+def write_by_company(records: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Records as a table whose files are dealt out by company: the checks, prior years and
+    whatever else looks at a company's records as a whole read it without a shuffle. Rows of a
+    bucket meet in one task first, so that every bucket is one file."""
+    dealt = records.repartition(buckets, "company_id")
+    dealt.write.mode("overwrite").bucketBy(buckets, "company_id").sortBy("company_id", "reporting_year").option("path", path).saveAsTable(table)
+
+
+def id_cuts(ids: DataFrame, partitions: int, id_col: str = "id") -> list[int]:
+    """At most ``partitions`` - 1 ids that cut a table into parts of about as many rows each."""
+    shares = [k / partitions for k in range(1, partitions)]
+    found = ids.where(F.col(id_col).isNotNull()).approxQuantile(id_col, shares, 0.1 / partitions) if shares else []
+    return sorted({int(x) for x in found})
+
+
+def id_predicates(cuts: list[int], id_col: str = "id") -> list[str]:
+    """Conditions that part all rows, those without an id too, each row into one part."""
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{id_col} >= {a} AND {id_col} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"{id_col} < {cuts[0]} OR {id_col} IS NULL", *inner, f"{id_col} >= {cuts[-1]}"]
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, partitions: int = 64, id_col: str = "id", properties: dict | None = None) -> DataFrame:
+    """A table read over as many connections as ``partitions``, cut at quantiles of its ids, so
+    that gaps and crowds among the ids leave no part much larger than the others. The ids alone
+    are read first; their quantiles, one number per part, reach the driver."""
+    ids = spark.read.jdbc(url, table, properties=properties or {}).select(id_col)
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(id_col)
+    return spark.read.jdbc(url, table, predicates=id_predicates(id_cuts(ids, partitions, id_col), quoted), properties=properties or {})
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, partitions: int = 16, properties: dict | None = None) -> None:
+    """Appends to a table over at most so many connections."""
+    df.coalesce(partitions).write.jdbc(url, table, mode="append", properties=properties or {})
 
 
 def append_records(records: DataFrame, path: str) -> None:

@@ -1,6 +1,9 @@
+import pytest
+
 from carbonsieve.operators import extract, tables
 from carbonsieve.sources import schemas
 from carbonsieve.sources import tables as io
+from carbonsieve.streaming import rowlevel
 
 
 def test_piped_runs():
@@ -100,3 +103,63 @@ def test_errors_of_search_and_of_documents(spark):
 def test_tonnes(spark):
     df = spark.createDataFrame([(1.0, None, 2.0, 3.0, "KT"), (1.0, 1.0, 1.0, 1.0, "Mt CO2e"), (1.0, 1.0, 1.0, 1.0, None)], "scope_1 double, scope_2_location double, scope_2_market double, scope_3 double, unit string")
     assert [tuple(r) for r in extract.to_tonnes(df).collect()] == [(1e3, None, 2e3, 3e3, "tonnes CO2e"), (1e6, 1e6, 1e6, 1e6, "tonnes CO2e"), (1.0, 1.0, 1.0, 1.0, None)]
+
+
+BAD = "<p>before</p><![foo[x]]><table><tr><td>q</td></tr></table>"
+
+
+def test_pages_that_cannot_be_read_stand_aside(spark):
+    pages = spark.createDataFrame([(1, HTML), (2, BAD), (3, None), (4, "<![CDATA[x]]>" + HTML)], "page_id long, html string")
+    assert sorted((r["page_id"], r["table_index"]) for r in tables.html_tables(pages).collect()) == [(1, 0), (4, 0)]
+    assert [tuple(r) for r in tables.unreadable(pages).collect()] == [(2, "Page cannot be parsed: unknown status keyword 'foo' in marked section")]
+    assert {r["page_id"]: r["text"] for r in pages.select("page_id", tables.html_text(pages.html).alias("text")).collect()}[2] is None
+
+
+def test_wide_sheets_and_cells_in_one_place(spark):
+    wide = [(1, 0, r, c, "v") for r in range(3) for c in (0, 9_999)] + [(1, 0, 1, c, "x") for c in range(1, 9_999)]
+    lines = tables.sheet_tables(spark.createDataFrame(wide, schemas.CELLS)).first()["markdown"].split("\n")
+    assert lines[0] == "| v" + " | " * 9_999 + "v |" and lines[2] == "| v" + " | x" * 9_998 + " | v |" and len(lines) == 4
+    twice = [(1, 0, 0, 0, "h"), (1, 0, 2500, 0, "x"), (1, 0, 2500, 0, "y"), (1, 0, 2500, 0, None), (1, 0, 1200, 0, "m")]
+    assert tables.sheet_tables(spark.createDataFrame(twice, schemas.CELLS)).first()["markdown"] == "| h |\n| --- |\n| m |\n| y |"
+
+
+@pytest.mark.parametrize("kind", ["html", "pages"])
+def test_documents_on_a_stream_that_dies(spark, tmp_path, kind):
+    """A batch whose writer dies after writing is written again under its number, once."""
+    rows = {"html": [(k, "u", HTML if k % 2 else BAD) for k in range(6)], "pages": [(k // 2, k % 2, "| a |\n| b |\n\n| --- |\nx") for k in range(6)]}[kind]
+    schema = {"html": schemas.HTML_PAGES, "pages": schemas.DOC_PAGES}[kind]
+    for k in range(3):
+        spark.createDataFrame(rows[2 * k : 2 * k + 2], schema).coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+    steps = {"html": tables.html_tables, "pages": tables.page_tables}
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    died = []
+
+    def work(batch):
+        done = steps[kind](batch)
+        if (tmp_path / "out" / "batch=0").exists() and not died:
+            died.append(done.write.parquet(f"{out}/batch=1"))
+            raise RuntimeError("lost")
+        return done
+
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in*"))
+    q = rowlevel.write_once(stream(), out, check, work)
+    with pytest.raises(Exception, match="lost"):
+        q.processAllAvailable()
+    q.stop()
+    q = rowlevel.write_once(stream(), out, check, work)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    want = steps[kind](spark.createDataFrame(rows, schema))
+    key = lambda df: sorted(map(str, df.select(*want.columns).collect()))
+    assert died and key(got) == key(want) and got.select("batch").distinct().count() >= 2
+
+
+def test_streams_take_the_document_steps_as_they_are(spark, tmp_path):
+    spark.createDataFrame([(1, "u", HTML), (2, "u", BAD)], schemas.HTML_PAGES).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schemas.HTML_PAGES).parquet(str(tmp_path / "in"))
+    for name, frame in (("tables", tables.html_tables(stream)), ("errors", tables.unreadable(stream)), ("text", stream.select("page_id", tables.html_text(stream.html).alias("text")))):
+        q = rowlevel.write(frame, str(tmp_path / name), str(tmp_path / f"{name}-check"))
+        q.processAllAvailable()
+        q.stop()
+        assert spark.read.parquet(str(tmp_path / name)).count() == (2 if name == "text" else 1)
