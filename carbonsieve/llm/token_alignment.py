@@ -129,6 +129,9 @@ class Aligner:
         self.size = [pc.binary_length(x.bytes).to_numpy().astype(np.int64) for x in (self.a, self.b)]
         self.spaced = [pc.starts_with(x.bytes, b" ").to_numpy(zero_copy_only=False) for x in (self.a, self.b)]
         self.windows = PieceCache(200_000, longest=256)
+        # the ids as they stand in a group's text, by what follows
+        words = [[str(i) for i in range(len(n))] for n in self.size]
+        self.told = pa.array([w + x for w_, xs in zip(words, (",|", (",", ";", "")), strict=True) for x in xs for w in w_])
 
     def _side(self, which: int, texts: pa.Array) -> Side:
         ids, bounds = flat_ids((self.a, self.b)[which].encode_array(texts))
@@ -150,27 +153,30 @@ class Aligner:
 
     def _align(self, windows: list[bytes]) -> list[tuple[str, bytes]]:
         """groups as text and links as pairs of ids, for windows given as the number of A's ids,
-        these, and B's."""
-        size_a, size_b = self.size
-        out = []
-        for window in windows:
-            n, *ids = np.frombuffer(window, "<u4").tolist()
-            a, b = ids[:n], ids[n:]
-            groups, links = [], []
-            i = j = at = to = first_a = first_b = 0
-            while i < len(a) or j < len(b):
-                if at <= to and i < len(a):
-                    at += int(size_a[a[i]])
-                    i += 1
-                else:
-                    to += int(size_b[b[j]])
-                    j += 1
-                if at == to and i > first_a and j > first_b:
-                    groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                    links += [a[i - 1], b[j - 1]]
-                    first_a, first_b = i, j
-            out.append((";".join(groups), np.array(links, "<u4").tobytes()))
-        return out
+        these, and B's: all windows are walked at once, one after another."""
+        flat = np.frombuffer(b"".join(windows), "<u4")
+        sizes = np.fromiter(map(len, windows), np.int64, len(windows)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n_a = flat[starts].astype(np.int64)
+        n_b = sizes - 1 - n_a
+        a, b = flat[spread(starts + 1, n_a)].astype(np.int64), flat[spread(starts + 1 + n_a, n_b)].astype(np.int64)
+        end_a, end_b = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
+        marks = np.zeros(end_a[-1] + 1, np.uint8)
+        marks[end_a] = 1
+        marks[end_b] |= 2
+        last_a, last_b = marks[end_a] == 3, marks[end_b] == 3  # in their groups
+        # in the text a group's tokens of A stand before those of B, each with what follows it
+        a_before, b_before = np.append(0, np.flatnonzero(last_a) + 1), np.append(0, np.flatnonzero(last_b) + 1)
+        told = np.empty(len(a) + len(b), np.int64)
+        told[np.arange(len(a)) + b_before[np.cumsum(last_a) - last_a]] = a + len(self.size[0]) * last_a
+        follows = last_b.astype(np.int64)
+        follows[np.cumsum(n_b) - 1] = 2
+        told[np.arange(len(b)) + a_before[np.cumsum(last_b) - last_b + 1]] = 2 * len(self.size[0]) + b + len(self.size[1]) * follows
+        ends = np.concatenate([[0], np.cumsum(n_a + n_b)])
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.told.take(pa.array(told))), "").to_pylist()
+        links = np.stack([a[last_a], b[last_b]], axis=1).astype("<u4").tobytes()
+        cuts = (8 * np.concatenate([[0], np.cumsum(last_a)])[np.concatenate([[0], np.cumsum(n_a)])]).tolist()
+        return [(t, links[x:y]) for t, x, y in zip(texts, cuts[:-1], cuts[1:], strict=True)]
 
     def _windows(self, a: Side, b: Side, ends: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The windows of all texts, and the bounds of each text's. ``ends``: of the texts' bytes."""
