@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import byte_digest, removed, shared_dir, small_side, written
+from .shared import byte_digest, own_name, removed, shared_dir, small_side, written
 
 RUN_SCHEMA = "digest binary, id long, n long"
 #: bits of the filter per digest, and at most in all (64 MB, which is what is broadcast)
@@ -153,9 +153,10 @@ def duplicates(
 
 def drop_duplicates(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    own, sha, n = (own_name(docs, x) for x in ("_id", "_sha", "_n"))
     found = duplicates(docs, keep=keep, id_col=id_col, text_col=text_col).where("group_size > 1")
-    found = written(found.groupBy(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept").agg(F.count("*").alias("_n")), "copies")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (byte_digest(F.col(text_col)) == F.col("_sha"))
-    stay = docs.join(small_side(found.where("not kept or _n > 1").select("_id", "_sha")), same, "left_anti")
-    again = docs.join(small_side(found.where("kept and _n > 1").select("_id", "_sha")), same).dropDuplicates(["_id", "_sha"])
-    return stay.unionByName(again.select(docs.columns))
+    found = written(found.groupBy(F.col("doc_id").alias(own), F.unhex("text_sha256").alias(sha), "kept").agg(F.count("*").alias(n)), "copies")
+    same = F.col(id_col).eqNullSafe(F.col(own)) & (byte_digest(F.col(text_col)) == F.col(sha))
+    stay = docs.join(small_side(found.where(f"not kept or `{n}` > 1").select(own, sha)), same, "left_anti")
+    again = docs.join(small_side(found.where(f"kept and `{n}` > 1").select(own, sha)), same).dropDuplicates([own, sha])
+    return stay.unionByName(again.drop(own, sha))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .shared import byte_digest, released, small_side, written
+from .shared import byte_digest, own_name, released, small_side, written
 
 UND = "und"
 ORDERS = (4, 3, 2, 1)
@@ -289,18 +289,37 @@ def held_out(id_col: Column) -> Column:
 def identify(
     docs: DataFrame, *, train_on: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS
 ) -> DataFrame:
-    """``docs`` with the struct column ``_lang`` (lang, score)."""
+    """``docs`` with the struct column ``_lang`` (lang, score), in place of one of that name."""
     rows = training_rows(docs, id_col) if train_on is None else train_on
     trained = train(rows, text_col=text_col, lang_col=lang_col, max_words=max_words, max_grams=max_grams)
     if trained.words is None:
         return docs.withColumn("_lang", predicted(docs.sparkSession, F.col(text_col), trained.model))
-    found = scores(docs, trained, text_col).select(F.col("digest").alias("_digest"), F.struct("lang", "score").alias("_lang"))
-    return docs.withColumn("_text", byte_digest(F.col(text_col))).join(found, F.col("_text") == F.col("_digest")).drop("_text", "_digest")
+    own, text, digest = docs.drop("_lang"), own_name(docs, "_text"), own_name(docs, "_digest")
+    found = scores(docs, trained, text_col).select(F.col("digest").alias(digest), F.struct("lang", "score").alias("_lang"))
+    return own.withColumn(text, byte_digest(F.col(text_col))).join(found, F.col(text) == F.col(digest)).drop(text, digest)
 
 
 def in_a_language(docs: DataFrame, trained: Trained, text_col: str = "text") -> DataFrame:
     """``docs`` but for those that the model finds in no language."""
     if trained.words is None:
         return docs.where(predicted(docs.sparkSession, F.col(text_col), trained.model)["lang"] != UND)
-    gone = scores(docs, trained, text_col).where(F.col("lang") == UND).select(F.col("digest").alias("_gone"))
-    return docs.join(small_side(gone), byte_digest(F.col(text_col)) == F.col("_gone"), "left_anti")
+    own = own_name(docs, "_gone")
+    gone = scores(docs, trained, text_col).where(F.col("lang") == UND).select(F.col("digest").alias(own))
+    return docs.join(small_side(gone), byte_digest(F.col(text_col)) == F.col(own), "left_anti")
+
+
+def labelled(docs: DataFrame, trained: Trained, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` but for those that the model finds in no language; a null in ``lang_col`` becomes
+    the language that it finds. Only the results of such documents and of those that go are
+    joined with the texts."""
+    own, digest = own_name(docs, "_found"), own_name(docs, "_digest")
+    if trained.words is None:
+        rows = docs.withColumn(own, predicted(docs.sparkSession, F.col(text_col), trained.model)["lang"])
+    else:
+        found = scores(docs, trained, text_col)
+        open_ = docs.where(F.col(lang_col).isNull()).select(byte_digest(F.col(text_col)).alias("digest")).distinct()
+        wanted = found.where(F.col("lang") == UND).unionByName(found.where(F.col("lang") != UND).join(open_, "digest", "left_semi"))
+        wanted = written(wanted.select(F.col("digest").alias(digest), F.col("lang").alias(own)), "lang-wanted")
+        rows = docs.join(small_side(wanted), byte_digest(F.col(text_col)) == F.col(digest), "left")
+    kept = rows.where(F.coalesce(F.col(own), F.lit("")) != UND)
+    return kept.withColumn(lang_col, F.coalesce(F.col(lang_col), F.col(own))).drop(own, digest)

@@ -34,7 +34,7 @@ from pyspark.sql.functions import pandas_udf
 
 from .components import components, partial_components
 from .multiset_hash import MIX, mixed, word_hashes
-from .shared import released, small_side, written
+from .shared import own_name, released, small_side, written
 
 #: 32 bands of 4 registers miss a pair of overlap 0.8 about once in 20 million
 BANDS, ROWS = 32, 4
@@ -307,5 +307,7 @@ def _most_bits(percent: int) -> int:
 
 def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, with all columns."""
-    gone = written(near_duplicates(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return docs.join(small_side(gone), F.col(id_col) == F.col("_gone"), "left_anti")
+    own = own_name(docs, "_gone")
+    found = near_duplicates(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
+    gone = written(found.where("not kept").select(F.col("doc_id").alias(own)).distinct(), "near-gone")
+    return docs.join(small_side(gone), F.col(id_col) == F.col(own), "left_anti")

@@ -51,6 +51,14 @@ def removed(path: str) -> None:
     fs.delete_dir(at)
 
 
+def own_name(df: DataFrame, name: str) -> str:
+    """A name for a column beside those of ``df``, none of which it is in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, size: str = "2m", rows: int = 500) -> None:
     """Python workers get texts in batches of about this size, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

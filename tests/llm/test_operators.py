@@ -584,7 +584,7 @@ def test_order_gives_every_row_its_neighbours(spark):
 def test_pipeline_stages(spark, docs, none):
     import corpus_pipeline
 
-    now = docs.drop("digest", "n")
+    now = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = shared.written(stage(spark, now, ""), name)
         assert out.columns == now.columns
@@ -593,7 +593,41 @@ def test_pipeline_stages(spark, docs, none):
     ids = [r["doc_id"] for r in now.collect()]
     assert not {110, 111, 112, 115} & set(ids) and len({i for i in ids if 60 <= i < 110}) <= 1
     assert corpus_pipeline.STAGES[-1][1](spark, now, "").count() == len(ids)
-    empty = none.drop("digest", "n")
+    empty = none
     for _, stage in corpus_pipeline.STAGES:
         empty = shared.written(stage(spark, empty, ""), "none")
         assert empty.count() == 0
+
+
+CLASHING = ["_id", "_sha", "_n", "_gone", "_text", "_digest", "_found", "_lang", "_row", "_copy", "_source", "_goal_source", "_maybe", "_bucket", "_key", "digest", "id", "n", "node", "component", "word", "head", "part", "kept", "keep_id", "group_size", "row", "size", "target", "copies", "count", "a", "b"]
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_words": 3, "max_grams": 1}])
+def test_stages_keep_columns_of_any_name(spark, limits, monkeypatch):
+    """Every name that an operator uses inside, as a column beside those of the documents."""
+    import corpus_pipeline
+
+    if limits:
+        train = lang_id.train
+        monkeypatch.setattr(lang_id, "train", lambda rows, **_: train(rows, **limits))
+    texts = ["the cat sat on the mat and saw the dog", "der Hund und die Katze sind nicht da", "the cat sat on the mat and saw the dog", "12 34", None, "und der Hund ist da"]
+    rows = [(i, t, "en" if t and t[0] == "t" else "de" if i == 1 else None, "s", *[f"{c}{i}" for c in CLASHING]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    now, kept = docs, [{0, 1, 2, 5}, {1, 2, 5}, {1, 2, 5}, None]
+    for (name, stage), left in zip(corpus_pipeline.STAGES[:-1], kept, strict=True):
+        now = shared.written(stage(spark, now, ""), name)
+        assert now.columns == docs.columns
+        found = now.collect()
+        assert left is None or {r["doc_id"] for r in found} == left
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in found for c in CLASHING)
+        assert all(r["lang"] == ("en" if r["text"][0] == "t" else "de") for r in found)
+    assert corpus_pipeline.STAGES[-1][1](spark, now, "").count() == now.count()
+
+
+def test_identify_replaces_a_column_of_its_name_and_keeps_others(spark):
+    rows = [(i, t, x, "k", "l") for i, (t, x) in enumerate([("the cat", "en"), ("der Hund", "de"), ("the dog", "en"), ("die Katze", "de"), ("a", None)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string, _lang string")
+    for limits in ({}, {"max_words": 1, "max_grams": 1}):
+        out = lang_id.identify(df, train_on=df, **limits)
+        assert out.columns == df.columns and {r["_text"] for r in out.collect()} == {"k"}
+        assert {r["doc_id"]: r["_lang"]["lang"] for r in out.collect()}[3] == "de"

@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from test_operators import BASE, shingles, valid
 from tokenizers import Tokenizer
 
@@ -50,6 +51,10 @@ PAGES = [(k, f"http://h.org/a/{k}", f"<nav>Menu {k}</nav><div>Top line</div><p>S
 def folder(spark, rows, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{at}/documents.parquet")
+    words = next(t for i, t, *_ in rows if i == 90).split()
+    items = [(k, " ".join(words[a : a + n])) for k, (a, n) in enumerate([(0, 40), (30, 9), (200, 10), (3000, 1200), (8990, 10)])]
+    items += [(7, None), (8, ""), (9, "One"), (9, "no such words at all"), (10, "It's 9, <|endoftext|>!"), (11, "never found " * 8)]
+    spark.createDataFrame(items, "item_id long, text string").repartition(2).write.parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2).write.parquet(f"{at}/pages.parquet")
     return at
 
@@ -147,10 +152,11 @@ def test_op5(rows, result):
     assert not got and len(set(prints.values())) == len(prints)
 
 
-@pytest.mark.parametrize("name", ["op6_mixing", "op7_exact_dedup"])
+@pytest.mark.parametrize("name", ["op6_mixing", "op7_exact_dedup", "op11_period_runs", "op12_suffix_search"])
 def test_queries_with_sql(folder, result, name):
     with duckdb.connect() as db:
-        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+        for table in ("documents", "benchmark"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
         columns = [d[0] for d in db.execute(queries.oracle_sql()[name]).description]
         want = db.fetchall()
     got = [tuple(r[c] for c in columns) for r in result(name)]
@@ -223,9 +229,59 @@ def test_op10(rows, result):
     assert sorted(map(tuple, result("op10_bpe_automaton"))) == sorted(want)
 
 
+def byte_spelling():
+    """The bytes of every token of the byte-level file and of the piece file."""
+    own = library("byte_bpe_50k.json")
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    a = [bytes(byte[c] for c in own.id_to_token(i)) for i in range(own.get_vocab_size())]
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    labels = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
+    b = [bytes([int(x[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", x) else x.replace("\u2581", " ").encode() for x in labels]
+    return a, b
+
+
+def plain_alignment(text, spelling):
+    """ids of A and B, and for each group its ids, or nothing where the bytes differ."""
+    if not text:
+        return [], [], []
+    own, pieces = library("byte_bpe_50k.json"), sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    own.encode_special_tokens = True
+    a, b = own.encode(" " + text, add_special_tokens=False).ids, pieces.encode(text)
+    if any(b"".join(s[i] for i in ids) != (" " + text).encode() for s, ids in zip(spelling, (a, b), strict=True)):
+        return [], [], []
+    ends = [np.cumsum([len(s[i]) for i in ids]).tolist() for s, ids in zip(spelling, (a, b), strict=True)]
+    groups, i, j = [], 0, 0
+    for x in sorted({*ends[0]} & {*ends[1]}):
+        m, n = ends[0].index(x) + 1, ends[1].index(x) + 1
+        groups.append((a[i:m], b[j:n]))
+        i, j = m, n
+    return a, b, groups
+
+
+def test_op13(rows, result):
+    spelling = byte_spelling()
+    found = {i: plain_alignment(t, spelling) for i, t, *_ in rows}
+    count, best = Counter((x[-1], y[-1]) for _, _, groups in found.values() for x, y in groups), Counter()
+    for (_, y), n in count.items():
+        best[y] = max(best[y], n)
+    got = {r["doc_id"]: r for r in result("op13_token_alignment")}
+    assert len(got) == len(rows)
+    for i, (a, b, groups) in found.items():
+        r, links = got[i], [(x[-1], y[-1]) for x, y in groups]
+        told = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"]) == (len(a), len(b), len(groups), len(links))
+        assert r["groups_sha256"] == (sha(told.encode()) if a else "")
+        assert r["count_sum"] == sum(count[x] for x in links) and r["n_best"] == sum(count[x] == best[x[1]] for x in links)
+
+
 def test_pipeline_equals_its_stages_by_hand(spark, rows, folder, tmp_path):
-    """A letter; the largest id of equal texts; the least id of near ones; copies by SQL; ids."""
-    kept = {i: (t, lang, source) for i, t, lang, source in rows if any(c.isalpha() for c in t or "")}
+    """A letter, and a language for those without; the largest id of equal texts; the least id
+    of near ones; copies by SQL; ids."""
+    predict = plain_language([(i, t, x) for i, t, x, _ in rows if t is not None and x and zlib.crc32(str(i).encode()) % 4 != 2])
+    kept = {i: (t, lang or predict(t)[0], source) for i, t, lang, source in rows if any(c.isalpha() for c in t or "")}
+    assert any(lang is None for i, _, lang, _ in rows if i in kept)
     last = {t: i for i, (t, _, _) in sorted(kept.items())}
     kept = {i: r for i, r in kept.items() if last[r[0]] == i}
     home = groups({i: shingles(t, 5) for i, (t, _, _) in kept.items()})
