@@ -21,13 +21,14 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language (without a letter) go; a model is trained on those labelled.
-    Without any label nothing can be told, and all documents with a letter stay."""
+    """Documents in no language (without a letter) go, and those without a label get the language
+    that a model finds, which is trained on those labelled. Without any label nothing can be told,
+    and all documents with a letter stay as they are."""
     small_batches(spark)
     trained = lang_id.train(lang_id.training_rows(docs))
     if not trained.model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return lang_id.in_a_language(docs, trained)
+    return lang_id.labelled(docs, trained)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
