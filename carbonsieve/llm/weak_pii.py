@@ -1,10 +1,13 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
 Four base kinds are found by pattern and check (email, ip, card, phone). Besides, every match
-of a wider pattern is a candidate: base matches, those that fail their check, and long strings
-of letters and digits (kind ``secret``). Four labelers vote on each candidate, for, against or
-not at all: the format (regex), lists of known parts (gazetteer: domains, networks, issuers, calling codes, beginnings of issued
-keys), its borders (context) and the words before it (cue). Votes are counted by pattern - a table of bounded size - and expectation
+of a wider pattern is a candidate: base matches, those that fail their check, and all long strings
+of letters, digits and what joins them (kind ``secret``), so long words, file names, paths and
+identifiers are candidates as well as keys are. Four labelers vote on each candidate, for, against
+or not at all: the format (regex; of a secret, how often letters and digits take turns), lists of
+known parts (gazetteer: domains, networks, issuers, calling codes, beginnings of issued keys;
+against a secret, that it is made of words or is a usual identifier), its borders (context) and
+the words before it (cue). Votes are counted by pattern - a table of bounded size - and expectation
 maximisation over the patterns estimates how far each labeler is right and how likely each
 pattern is personal data. With these soft labels a naive Bayes classifier over the shape of a
 candidate and the hashed words around it is trained from counts, again of bounded size. Spans
@@ -55,6 +58,12 @@ SPECIAL_NETWORKS = "0 10 127 169 224 225 226 227 228 229 230 231 232 233 234 235
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|35|6011|65|30[0-5]|36|38|62)"
 CALLING_CODES = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-689]\d|3[578]\d|42\d|5[09]\d|6[7-9]\d|8[058]\d|9[679]\d)"
 ISSUED = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|github_pat_|glpat-|sk[-_]|pk[-_]|rk_|xox[abprs]-|ya29|eyJ|npm_|pypi-|dop_v1_|shpat_|hf_)"
+#: where letters and digits take turns; a word among joined parts; usual identifiers
+TURN = r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"
+WORD_PART = r"(?:^|(?<=[-_/=+]))[A-Za-z]{2,}+(?=[-_/=+]|$)"
+IDENTIFIER = r"(?i)^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
+#: characters for each turn, at most in keys and at least in names
+TURNS_OF_KEYS, TURNS_OF_NAMES = 6, 9
 CUES = {
     "email": r"(?i)(e-?mail|mail|contact|write|reach|courriel|correo)\W*\w*\W*$",
     "ip": r"(?i)(\bip\b|address|host|server|login|from|client)\W*\w*\W*$",
@@ -146,7 +155,7 @@ def _candidate(kind: str, m: Column) -> Column:
     if kind == "card":
         return F.length(_digits(m)).between(13, 19)
     if kind == "secret":
-        return m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (F.length(F.regexp_replace(m, "[^0-9]", "")) >= 4)
+        return m.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -158,8 +167,9 @@ def _votes(kind: str, c: Column) -> list[Column]:
     m, before, after = c["m"], c["before"], c["after"]
     ever, never = F.lit(True), F.lit(False)
     if kind == "secret":
-        form = _vote(m.rlike("^[0-9a-f]{32,}+$|^[0-9A-F]{32,}+$") | m.rlike("[0-9]") & m.rlike("[a-z]") & m.rlike("[A-Z]"), ~m.rlike("[0-9][^0-9]+[0-9]"))
-        known = _vote(m.rlike(ISSUED), never)
+        turns, usual = F.regexp_count(m, F.lit(TURN)), m.rlike(IDENTIFIER)
+        form = _vote((turns * TURNS_OF_KEYS >= F.length(m)) & ~usual, (turns * TURNS_OF_NAMES < F.length(m)) | usual)
+        known = _vote(m.rlike(ISSUED), (F.regexp_count(m, F.lit(WORD_PART)) >= 2) | usual)
     else:
         form = _vote(c["ok"], ~c["ok"])
         if kind == "email":
@@ -172,8 +182,9 @@ def _votes(kind: str, c: Column) -> list[Column]:
             known = _vote(_digits(m).rlike(CALLING_CODES), ever)
     glued = before.rlike(r"[\p{L}0-9_]$") | after.rlike(r"^[\p{L}0-9_]")
     borders = _vote(~glued, glued)
-    cued = before.rlike(CUES[kind]) | before.rlike("[:=]\\s*[\"']?$")
-    cue = _vote(cued, ~cued & before.rlike(r"\p{L}[,;]?\s+$") if kind == "secret" else never)
+    cued, assigned = before.rlike(CUES[kind]), before.rlike("[:=]\\s*[\"']?$")
+    # something that is no key may be assigned as well, so that alone says nothing of a secret
+    cue = _vote(cued, ~cued & ~assigned & before.rlike(r"\p{L}[,;]?\s+$")) if kind == "secret" else _vote(cued | assigned, never)
     return [form, known, borders, cue]
 
 

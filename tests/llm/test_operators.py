@@ -246,6 +246,74 @@ def test_pii_adds_secrets_and_leaves_plain_texts(spark):
         assert got[i] == (f"secret:{at}:{at + 40}" if i < 100 else "")
 
 
+def decoy(rng):
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9)))
+    return rng.choice(
+        [
+            lambda: "-".join([word() for _ in range(4)] + ["2024", word(), f"{rng.randrange(10**5):05d}"]),
+            lambda: "/" + "/".join([word(), word(), f"{word()}_{word()}_{rng.randrange(10**8):08d}", f"x{rng.randrange(9)}"]),
+            lambda: "_".join([word(), word(), f"v{rng.randrange(9)}", word(), f"{rng.randrange(2000, 2030)}", word()]),
+            lambda: "".join(word() for _ in range(6)),
+            lambda: "-".join("".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12)),
+        ]
+    )()
+
+
+def test_pii_tells_secrets_from_names(spark):
+    """As many decoys (slugs, paths, names, identifiers, long words) as secrets, in the same kinds of places."""
+    rng = random.Random(12)
+    alphabets = ["0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    data = []
+    for i in range(600):
+        if i % 2:
+            letters = rng.choice(alphabets)
+            key = "".join(rng.choice(letters) for _ in range(rng.choice([24, 32, 40])))
+            data.append((i, f'{text(rng, 6)} {rng.choice(["token", "api_key", "secret"])} = "{key}" {text(rng, 4)}', key))
+        else:
+            name = decoy(rng)
+            data.append((i, f'{text(rng, 6)} {rng.choice(["see", "file =", "open", "path:", "id"])} {name} {text(rng, 4)}', name))
+    df = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string")
+    model = weak_pii.train(df)
+    got = {r["doc_id"]: r["spans"] for r in weak_pii.digest_columns(weak_pii.marked(df, model)).collect()}
+    marked = {i for i, t, key in data if len(key) >= 20 and f"secret:{t.find(key)}:{t.find(key) + len(key)}" in got[i].split(",")}
+    true = {i for i, *_ in data if i % 2}
+    assert len(marked & true) >= 0.9 * len(true) and len(marked & true) >= 0.9 * len(marked)
+    assert sum(len(key) >= 20 for i, _, key in data if not i % 2) > 250
+    assert all("secret" not in got[i] for i in got.keys() - marked)
+
+
+def test_pii_classifier_equals_plain_counts(spark):
+    """The classifier and what it decides, from the votes and buckets of each candidate in plain Python."""
+    rng = random.Random(3)
+    data = [(i, " ".join(rng.choice([decoy(rng), f'token = "{rng.getrandbits(128):032x}"', text(rng, 3)]) for _ in range(4))) for i in range(120)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    found = weak_pii.candidates(F.col("text"), "secret")
+    wide = F.transform(found, lambda c: F.struct(c["start"], c["end"], weak_pii._ballot("secret")(c).alias("b")))
+    rows = [(r["doc_id"], c["start"], c["end"], tuple(map(int, c["b"]["votes"])), c["b"]["buckets"]) for r in df.select("doc_id", wide.alias("c")).collect() for c in r["c"]]
+    prior, right, belief = 0.5, [(0.8, 0.8)] * 4, {}
+    bound = lambda a, b: min(0.99, max(0.51, (a + 4) / (b + 5)))
+    for _ in range(60):
+        belief = {}
+        for *_, votes, _ in rows:
+            yes, no = prior, 1 - prior
+            for v, (tp, tn) in zip(votes, right, strict=True):
+                yes, no = (yes * (tp if v else 1 - tp), no * (1 - tn if v else tn)) if v != 2 else (yes, no)
+            belief[votes] = yes / (yes + no)
+        beliefs = [belief[v] for *_, v, _ in rows]
+        prior = min(0.99, max(0.01, sum(beliefs) / len(rows)))
+        right = []
+        for k in range(4):
+            cast = [(b, v[k]) for b, (*_, v, _) in zip(beliefs, rows, strict=True) if v[k] != 2]
+            right.append((bound(sum(b for b, v in cast if v), sum(b for b, _ in cast)), bound(sum(1 - b for b, v in cast if not v), sum(1 - b for b, _ in cast))))
+    share = lambda f, x, w: (1 + sum(b for b, (*_, k) in zip(w, rows, strict=True) if k[f] == x)) / (weak_pii.BUCKETS + sum(w))
+    others = [1 - b for b in beliefs]
+    score = lambda k: np.log(prior / (1 - prior)) + sum(np.log(share(f, x, beliefs) / share(f, x, others)) for f, x in enumerate(k))
+    cut = np.log(weak_pii.LEAST / (1 - weak_pii.LEAST))
+    want = {(i, a, b) for i, a, b, _, k in rows if score(k) >= cut}
+    got = {(r["doc_id"], s["start"], s["end"]) for r in weak_pii.marked(df, weak_pii.train(df)).collect() for s in r["added_secret"]}
+    assert got == want and 0 < len(want) < len(rows)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not there")
 def test_pii_finds_the_secrets_of_the_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
