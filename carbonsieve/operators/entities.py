@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.keys import last_id, numbered
 from ..sources.schemas import REGISTRY_RECORD
+from ..sources.staging import small_side, staged
 
 TIERS = {"high": 0, "medium": 1, "low": 2, "rejected": 3}
 HITS_PER_QUERY = 5
@@ -88,49 +93,90 @@ def resolve(candidates: DataFrame) -> DataFrame:
     return best_match(scored(first_per_lei(candidates)))
 
 
-def _words_by_rarity(companies: DataFrame, entities: DataFrame) -> DataFrame:
-    """key, is_company, country, words: the words of each name, the rarest of all names first."""
-    own = companies.select(F.col("id").cast("string").alias("key"), F.lit(True).alias("is_company"), F.lit(None).cast("string").alias("country"), t.significant_words(F.col("name")).alias("w"))
-    theirs = entities.select(F.col("lei").alias("key"), F.lit(False).alias("is_company"), "country", t.significant_words(F.col("legal_name")).alias("w"))
-    rows = own.unionByName(theirs).select("key", "is_company", "country", F.explode("w").alias("word"))
-    counted = rows.join(rows.groupBy("word").agg(F.count("*").alias("n")), "word")
-    words = F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"])
-    return counted.groupBy("key", "is_company").agg(F.max("country").alias("country"), words.alias("words"))
+@dataclass
+class NameIndex:
+    """Names as sorted arrays of word codes, the rarest word first; stored, so it is built once.
+
+    ``words``: word, code; ``names``: lei, codes, n. Codes are dense and ordered by how often a word
+    occurs, so a name's first codes are its rarest words, and a name is a few whole numbers."""
+
+    words: DataFrame
+    names: DataFrame
+
+    def coded(self, rows: DataFrame, key: str, name: str) -> DataFrame:
+        """``key``, codes, n of other names. Words that the index lacks have no code, as no name of
+        the index can share them, but count in ``n``."""
+        split = rows.select(key, t.significant_words(F.col(name)).alias("w"))
+        known = split.select(key, F.explode("w").alias("word")).join(small_side(self.words), "word")  # a frequent word is no hot key
+        codes = known.groupBy(key).agg(F.array_sort(F.collect_list("code")).alias("codes"))
+        return split.select(key, F.size("w").alias("n")).join(codes, key)
+
+    def extended(self, entities: DataFrame) -> NameIndex:
+        """The index with more entities (lei, legal_name). New words get codes after all others:
+        the order by rarity then holds within each delivery, which costs time, never a match."""
+        fresh = _word_counts(entities, "legal_name").join(self.words, "word", "left_anti")
+        added = numbered(fresh, ["n", "word"], last_id(self.words, "code"), "code").select("word", "code")
+        words = staged(self.words.unionByName(added), "name-words")
+        more = NameIndex(words, self.names)
+        return NameIndex(words, staged(self.names.unionByName(more.coded(entities, "lei", "legal_name").select("lei", "codes", "n")), "name-codes"))
+
+
+def _word_counts(rows: DataFrame, name: str) -> DataFrame:
+    words = rows.select(F.explode(t.significant_words(F.col(name))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
+
+
+def name_index(entities: DataFrame) -> NameIndex:
+    """The index of the names of entities (lei, legal_name)."""
+    words = staged(numbered(_word_counts(entities, "legal_name"), ["n", "word"], id_col="code").select("word", "code"), "name-words")
+    empty = NameIndex(words, entities)
+    return NameIndex(words, staged(empty.coded(entities, "lei", "legal_name").select("lei", "codes", "n"), "name-codes"))
 
 
 def _best_of_share(own: DataFrame, theirs: DataFrame, tenths: int) -> DataFrame:
     """key and best (similarity, lei) of companies that have an entity of so many tenths.
 
-    Two names of that similarity share one of the rarest words of both, as at least so many
-    tenths of the longer one's words are common: all but that many (and one) are compared."""
-    n = F.size("words")
-    rarest = F.slice("words", F.lit(1), n - F.floor((tenths * n + 9) / 10).cast("int") + 1)
-    left = own.select("key", F.col("words").alias("own_words"), F.explode(rarest).alias("word"))
-    right = theirs.select("lei", "words", F.explode(rarest).alias("word"))
-    similarity = t.set_similarity(F.col("own_words"), F.col("words"))
-    pairs = left.join(right, "word").select("key", "lei", similarity.alias("similarity")).where((F.col("similarity") > 0) & (F.col("similarity") >= tenths / 10))
+    Two names of that similarity share one of the rarest codes of both, as at least so many
+    tenths of the longer one's words are common: all but that many (and one) are compared. The
+    sizes of the names and the places of the shared code say how many words can be common at
+    most, so few pairs come to be counted, on arrays of whole numbers."""
+    needed = lambda n: F.greatest(F.floor((tenths * n + 9) / 10), F.lit(1))
+    rarest = F.slice("codes", F.lit(1), F.greatest(F.col("n") - needed(F.col("n")).cast("int") + 1, F.lit(0)))
+    side = lambda df, key, x: df.select(F.col(key), F.col("codes").alias(f"codes_{x}"), F.col("n").alias(f"n_{x}"), F.posexplode(rarest).alias(f"at_{x}", "code"))
+    met = side(own, "key", "a").join(side(theirs, "lei", "b"), "code")
+    left = lambda x: F.size(f"codes_{x}") - F.col(f"at_{x}")
+    most = F.least(left("a"), left("b")) + F.least("at_a", "at_b")
+    met = met.where(most >= needed(F.greatest("n_a", "n_b")))
+    similarity = F.size(F.array_intersect("codes_a", "codes_b")) / F.greatest("n_a", "n_b")
+    pairs = met.select("key", "lei", similarity.alias("similarity")).where((F.col("similarity") > 0) & (F.col("similarity") >= tenths / 10))
     return pairs.groupBy("key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "lei")).alias("best"))
 
 
-def resolve_by_registry(companies: DataFrame, registry: DataFrame) -> DataFrame:
+def resolve_by_registry(companies: DataFrame, registry: DataFrame, index: NameIndex | None = None) -> DataFrame:
     """One match per company that has one, from a whole registry: of the active entities in an
     allowed country with a common significant word the one of the best tier and similarity; ties
-    go to the lowest LEI, as there is no order of hits.
+    go to the lowest LEI, as there is no order of hits. ``index``: that of those entities, if it
+    is stored already.
 
     Tiers are tried from the best, each for the companies still open and by the rarest words
     that its similarity leaves, so frequent words join nothing but the names that have little
-    else. A pair carries words and ids; names are joined to the matches alone."""
+    else. A pair carries codes and ids; names are joined to the matches alone."""
     entities = registry.where("status = 'ACTIVE'").where(t.country_allowed(F.col("country")))
-    names = _words_by_rarity(companies, entities)
-    own, theirs = names.where("is_company"), names.where("not is_company").select(F.col("key").alias("lei"), "words")
-    found = None
+    index = index or name_index(entities)
+    own = staged(index.coded(companies.select("id", "name"), "id", "name"), "company-codes")
+    # names of the same words are one: it is searched once, and stands for its lowest LEI
+    theirs = staged(index.names.groupBy("codes", "n").agg(F.min("lei").alias("lei")), "distinct-codes")
+    same = F.struct("codes", "n").alias("key")
+    open_, found = own.select("codes", "n", same).distinct(), []
     for tenths in (5, 3, 0):
-        more = _best_of_share(own, theirs, tenths)
-        found = more if found is None else found.unionByName(more)
-        own = own.join(more.select("key"), "key", "left_anti")
-    matched = found.select(F.col("key"), F.col("best.lei").alias("lei"))
-    searched = companies.select(F.col("id").alias("company_id"), F.col("name").alias("search_name"), F.col("id").cast("string").alias("key"))
-    hits = matched.join(searched, "key").join(entities.select("lei", "legal_name", "country"), "lei").drop("key")
+        found.append(staged(_best_of_share(open_, theirs, tenths), "registry-matches"))
+        open_ = staged(open_.join(found[-1].select("key"), "key", "left_anti"), "open-names")
+        if open_.isEmpty():
+            break
+    best = reduce(DataFrame.unionByName, found).select("key.codes", "key.n", "best.lei")
+    matched = own.join(best, ["codes", "n"]).select(F.col("id").alias("company_id"), "lei")
+    searched = companies.select(F.col("id").alias("company_id"), F.col("name").alias("search_name"))
+    hits = searched.join(matched, "company_id").join(entities.select("lei", "legal_name", "country"), "lei")
     return scored(hits.withColumns({"query_no": F.lit(0), "pos": F.lit(0)}))
 
 

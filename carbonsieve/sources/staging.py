@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -39,3 +40,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def small_side(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast if it has at most so many; beyond that
+    Spark joins it by a shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
