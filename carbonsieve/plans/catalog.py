@@ -216,6 +216,12 @@ def active_hits(spark, d):
     return entities.active_hits(frame(spark, d, "fx_candidates"), most=2).select("company_id", "query_no", "pos", "lei")
 
 
+@query("active_hits_five", "select company_id, query_no, pos, lei from fx_hits where status='ACTIVE' qualify row_number() over (partition by company_id, query_no order by pos)<=5")
+def active_hits_five(spark, d):
+    """P7 as it is: ten hits per query, of which the first five active ones count."""
+    return entities.active_hits(frame(spark, d, "fx_hits")).select("company_id", "query_no", "pos", "lei")
+
+
 @query("best_lei", SQL_GIVEN + " select company_id, lei, legal_name, country, similarity, confidence, flag_reason from best where confidence<>'rejected'")
 def best_lei(spark, d):
     """K4 over A7, given candidates."""
@@ -281,6 +287,18 @@ def lei_display(spark, d):
     return review.company_display(_companies_with_lei(spark, d))
 
 
+@query(
+    "lei_display_resolved",
+    """select id, case when coalesce(lei,'')='' then 'Not found' else case lei_confidence when 'high' then 'green' when 'medium' then 'yellow' else 'red' end end as lei_band,
+ coalesce(nullif(lei_confidence,''),'unknown') as lei_tier, coalesce(nullif(lei_legal_name,''),'—') as legal_name_text, coalesce(nullif(lei_country,''),'—') as country_text, lei_review_status as lei_status
+from (LEI_BACKFILL)""".replace("LEI_BACKFILL", SQL["lei_backfill"]),
+)
+def lei_display_resolved(spark, d):
+    """P10 after resolution: all of its bands."""
+    companies = _companies_with_lei(spark, d)
+    return review.company_display(entities.backfill(companies, entities.resolve(frame(spark, d, "fx_candidates")))).drop("name")
+
+
 @query(
     "registry_flatten",
     """select k, lei, legal_name, case when country<>'' then country else case when k%2=0 then 'JE' else '' end end as country from fx_registry""",

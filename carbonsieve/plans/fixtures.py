@@ -33,6 +33,9 @@ VIEWS = {
     "fx_candidates": """select s.id as company_id, s.name as search_name, q.query_no, q.pos, r.lei, r.legal_name, r.country, r.status from fx_seed s cross join
  (select 0 query_no,0 pos,1 m,0 o union all select 0,1,7,13 union all select 0,2,3,4 union all select 1,0,1,0 union all select 1,1,11,5) q
  join fx_registry r on r.k=(s.id*q.m+q.o)%(select count(*) from part)""",
+    "fx_hits": """select s.id as company_id, cast(q.pos%2 as int) as query_no, cast(q.pos div 2 as int) as pos, r.lei, r.status from fx_seed s cross join
+ (select a.i*4+b.i as pos from (select 0 i union all select 1 union all select 2 union all select 3 union all select 4) a cross join (select 0 i union all select 1 union all select 2 union all select 3) b) q
+ join fx_registry r on r.k=(s.id*3+q.pos*7)%(select count(*) from part)""",
     "fx_doc_pages": """select p_partkey as doc_id, 0 as page_no, concat('About ',p_name,chr(10),'| item | ',p_type,' |',chr(10),'| --- | --- |',chr(10),'| ',p_brand,' | ',cast(p_size as string),' |',chr(10),
  'Middle',chr(10),'| lone | line |',chr(10),'Outro',
  case when p_partkey%2=0 then concat(chr(10),'  | a | b |',chr(10),'  | c | d |') else '' end,

@@ -1,3 +1,7 @@
+import random
+import re
+
+from carbonsieve.functions import text as t
 from carbonsieve.operators import entities
 from carbonsieve.sources import schemas
 
@@ -65,6 +69,39 @@ def test_registry_mode_has_no_cartesian_product(spark):
     assert [r["lei"] for r in out.collect()] == ["L1"]
 
 
+def plain_best(names, entities_of):
+    """Per name the greatest share of common words over all entities, and the lowest LEI that has it."""
+    words = lambda n: {w for w in re.findall("[a-z0-9]+", n.lower()) if len(w) > 1 and w not in t.STOP_WORDS}
+    out = {}
+    for i, n in names:
+        mine = words(n)
+        rated = [(-len(mine & words(x)) / max(len(mine), len(words(x))), lei) for lei, x in entities_of if mine & words(x)]
+        if rated:
+            out[i] = min(rated)[1]
+    return out
+
+
+def test_coded_names_give_what_all_pairs_give(spark):
+    """Random names of frequent and rare words, some unknown to the registry, in all tiers; the index
+    is also built in two deliveries."""
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(60)] + ["north"] * 9 + ["steel"] * 5 + ["group", "plc", "x"]
+    say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    names = [(i, say(rng.randrange(0, 7)) + rng.choice(["", " only-here"])) for i in range(150)]
+    given = [(f"L{k:04d}", say(rng.randrange(0, 9))) for k in range(400)]
+    companies = spark.createDataFrame(names, "id long, name string")
+    registry = spark.createDataFrame([(lei, n, "GB", "ACTIVE") for lei, n in given], schemas.REGISTRY)
+    want = plain_best(names, given)
+    found = entities.resolve_by_registry(companies, registry).collect()
+    assert {r["company_id"]: r["lei"] for r in found} == want and len(found) == len(want)
+    tiers = {r["confidence"] for r in found}
+    assert tiers == {"high", "medium", "low"}
+    index = entities.name_index(registry.where("lei < 'L0300'")).extended(registry.where("lei >= 'L0300'"))
+    assert {r["company_id"]: r["lei"] for r in entities.resolve_by_registry(companies, registry, index).collect()} == want
+    assert index.words.groupBy("code").count().where("count > 1").count() == 0
+    assert entities.resolve_by_registry(companies.limit(0), registry).count() == 0 == entities.resolve_by_registry(companies, registry.limit(0)).count()
+
+
 def test_key_violations_ignore_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "lei string")
     assert [tuple(r) for r in schemas.key_violations(df, ["lei"]).collect()] == [("a", 2)]
