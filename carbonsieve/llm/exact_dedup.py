@@ -1,10 +1,11 @@
 """Exact deduplication by a log-structured merge index of digests.
 
 Every scan task is a memtable: it sorts the digests of its rows and flushes one sorted run.
-Compaction merges the level before and the runs since to one row per digest, keeping one
-identifier and the count, and drops them; a new batch of documents only flushes new runs. The
-level has a filter: a bit per hashed digest that several rows have, of bounded size. A row whose
-bit is not set is alone with its text and is settled where it is scanned; only the others are
+Compaction merges the runs of a level that is full to one of the next, one row per digest with
+one identifier and the count, and drops them; other levels are not touched. Runs have filters, a
+bit per hashed digest, of bounded size: a lookup reads a run only for digests that pass. To
+deduplicate a whole table its runs are merged to one, and a filter of the digests that several
+rows have settles every row whose bit is not set where it is scanned; only the others are
 looked up by digest. Hits are verified byte by byte against the text of the row that stays, so
 a digest collision cannot drop a document.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,53 +33,14 @@ from .shared import byte_digest, own_name, removed, shared_dir, small_side, writ
 RUN_SCHEMA = "digest binary, id long, n long"
 #: bits of the filter per digest, and at most in all (64 MB, which is what is broadcast)
 BITS_EACH, MOST_BITS = 16, 2**29
+#: runs of a level that are merged to one of the next
+FANOUT = 4
 
 
 def _write_sorted(df: DataFrame, path: str) -> None:
     df.sortWithinPartitions("digest").write.parquet(path)
 
 
-class DigestIndex:
-    """The index: the runs flushed since the last compaction, and the compacted level."""
-
-    def __init__(self, spark: SparkSession, path: str | None = None, *, keep: str = "max", digest: Callable[[Column], Column] = byte_digest):
-        if keep not in ("min", "max"):
-            raise ValueError("keep is 'min' or 'max'")
-        self.spark, self.path, self.digest = spark, path or shared_dir(spark, "digest-index"), digest
-        self.best = F.min if keep == "min" else F.max
-        self.runs: list[str] = []
-        self.level: str | None = None
-        self.flushed = self.levels = 0
-
-    def flush(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-        """Adds a batch: every task writes its own sorted run; nothing is shuffled."""
-        self.flushed += 1
-        run = docs.select(self.digest(F.col(text_col)).alias("digest"), F.col(id_col).cast("long").alias("id"), F.lit(1).cast("long").alias("n"))
-        _write_sorted(run, f"{self.path}/run-{self.flushed}")
-        self.runs.append(f"{self.path}/run-{self.flushed}")
-
-    def compact(self) -> None:
-        """Merges the level before and the runs since to the next level, and drops them."""
-        merged = [*([self.level] if self.level else []), *self.runs]
-        if not self.runs:
-            return
-        rows = self.spark.read.schema(RUN_SCHEMA).parquet(*merged)
-        self.levels += 1
-        level = f"{self.path}/level-{self.levels}"
-        _write_sorted(rows.groupBy("digest").agg(self.best("id").alias("id"), F.sum("n").alias("n")), level)
-        self.level, self.runs = level, []
-        for path in merged:
-            removed(path)
-
-    def entries(self) -> DataFrame:
-        """digest, id, n of the compacted level."""
-        return self.spark.read.schema(RUN_SCHEMA).parquet(self.level)
-
-    def groups(self) -> DataFrame:
-        """The entries that several rows share."""
-        return self.entries().where("n > 1")
-
-
 class DigestFilter:
     """A bit per hashed digest. What is in ``digests`` always passes, of other digests few do
     (more where the most bits are reached, which costs time, not rows)."""
@@ -86,7 +49,9 @@ class DigestFilter:
         self.bits = min(MOST_BITS, max(2**15, 2 ** math.ceil(math.log2(BITS_EACH * max(1, digests.count())))))
         place = self._place(F.col("digest"))
         bitmaps = digests.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bitmap"))
-        self.bitmaps = written(bitmaps, name)
+        self.path = shared_dir(digests.sparkSession, name)
+        bitmaps.write.parquet(self.path)
+        self.bitmaps = digests.sparkSession.read.schema(bitmaps.schema).parquet(self.path)
 
     def _place(self, digest: Column) -> Column:
         return F.pmod(F.xxhash64(digest), F.lit(self.bits)) + 1
@@ -101,6 +66,95 @@ class DigestFilter:
         return met.withColumn("_maybe", F.coalesce(bit, F.lit(False))).drop("_bucket", "_bitmap")
 
 
+@dataclass
+class Run:
+    """A sorted run of the index, how many entries it has, and its filter once one was needed."""
+
+    path: str
+    level: int
+    size: int
+    filter: DigestFilter | None = None
+
+
+class DigestIndex:
+    """The index: sorted runs in levels of growing size.
+
+    A flush adds a run to level 0. When ``FANOUT`` runs have come together on a level, they are
+    merged to one of the next, so an entry is written about as often as there are levels: the
+    logarithm of the number of batches. ``compact`` merges all there is to a single run."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, *, keep: str = "max", digest: Callable[[Column], Column] = byte_digest):
+        if keep not in ("min", "max"):
+            raise ValueError("keep is 'min' or 'max'")
+        self.spark, self.path, self.digest = spark, path or shared_dir(spark, "digest-index"), digest
+        self.best = F.min if keep == "min" else F.max
+        self.runs: list[Run] = []
+        self.written = 0
+        #: entries written so far, by flushes and merges
+        self.entries_written = 0
+
+    def _add(self, rows: DataFrame, level: int) -> None:
+        self.written += 1
+        path = f"{self.path}/run-{self.written}-level-{level}"
+        _write_sorted(rows, path)
+        run = Run(path, level, self._read(path).count())
+        self.entries_written += run.size
+        self.runs.append(run)
+
+    def _read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema(RUN_SCHEMA).parquet(*paths)
+
+    def flush(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
+        """Adds a batch: every task writes its own sorted run; nothing is shuffled."""
+        self._add(docs.select(self.digest(F.col(text_col)).alias("digest"), F.col(id_col).cast("long").alias("id"), F.lit(1).cast("long").alias("n")), 0)
+
+    def settle(self) -> None:
+        """Merges full levels, from the lowest up. Runs of other levels are left alone."""
+        level = 0
+        while any(r.level >= level for r in self.runs):
+            full = [r for r in self.runs if r.level == level]
+            if len(full) >= FANOUT:
+                self._merge(full, level + 1)
+            level += 1
+
+    def compact(self) -> None:
+        """Merges all runs to one."""
+        if self.runs and not (len(self.runs) == 1 and self.runs[0].level):
+            self._merge(list(self.runs), 1 + max(r.level for r in self.runs))
+
+    def _merge(self, runs: list[Run], level: int) -> None:
+        rows = self._read(*[r.path for r in runs])
+        self._add(self._merged(rows), level)
+        self.runs = [r for r in self.runs if r not in runs]
+        for run in runs:
+            removed(run.path)
+            if run.filter:
+                removed(run.filter.path)
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy("digest").agg(self.best("id").alias("id"), F.sum("n").alias("n"))
+
+    def entries(self) -> DataFrame:
+        """digest, id, n over all runs."""
+        rows = self._read(*[r.path for r in self.runs]) if self.runs else self.spark.createDataFrame([], RUN_SCHEMA)
+        return rows if len(self.runs) == 1 and self.runs[0].level else self._merged(rows)
+
+    def groups(self) -> DataFrame:
+        """The entries that several rows share."""
+        return self.entries().where("n > 1")
+
+    def lookup(self, digests: DataFrame) -> DataFrame:
+        """digest, id, n of those of ``digests`` (a column digest) that the index holds. Each run is
+        searched only for what its filter lets through."""
+        wanted = written(digests.select("digest").distinct(), "digest-wanted")
+        found = self.spark.createDataFrame([], RUN_SCHEMA)
+        for run in self.runs:
+            run.filter = run.filter or DigestFilter(self._read(run.path), "digest-run-filter")
+            likely = run.filter.mark(wanted).where("_maybe").select("digest")
+            found = found.unionByName(self._read(run.path).join(small_side(written(likely, "digest-likely")), "digest", "left_semi"))
+        return self._merged(found)
+
+
 def _collisions(rows: DataFrame, groups: DataFrame, seen: DigestFilter) -> DataFrame:
     """Digests under which a hit differs in its bytes from the row that stays. ``rows``: doc_id,
     text, digest.

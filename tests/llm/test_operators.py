@@ -80,11 +80,40 @@ def test_exact_duplicates_null_ids_and_runs(spark):
     for ids in ([5, 6], [2], [9]):
         index.flush(spark.createDataFrame([(i, "same") for i in ids], "doc_id long, text string"))
         index.compact()
-        # what was merged is gone: the next compaction reads this level and the runs after it
-        assert not index.runs and [p.split("/")[-1] for p in glob.glob(index.path.removeprefix("file://") + "/*")] == [index.level.split("/")[-1]]
+        # what was merged is gone: the next compaction reads this run and those after it
+        assert [p.split("/")[-1] for p in glob.glob(index.path.removeprefix("file://") + "/*")] == [r.path.split("/")[-1] for r in index.runs] and len(index.runs) == 1
     assert [(r["id"], r["n"]) for r in index.entries().collect()] == [(2, 4)]
 
 
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_index_of_many_batches(spark, keep):
+    """Levels of growing size: what is written stays far below batches times entries, and lookups
+    give after every batch what a plain index gives."""
+    rng, index, plain, flushed = random.Random(6), exact_dedup.DigestIndex(spark, keep=keep), defaultdict(list), 0
+    digest = lambda t: hashlib.sha256(t.encode()).digest()
+    batches = 13
+    for k in range(batches):
+        batch = [(100 * k + i, f"text {rng.randrange(400)}") for i in range(60)]
+        index.flush(spark.createDataFrame(batch, "doc_id long, text string").coalesce(2))
+        index.settle()
+        flushed += len(batch)
+        for i, t in batch:
+            plain[digest(t)].append(i)
+        assert all(sum(r.level == x for r in index.runs) < exact_dedup.FANOUT for x in range(3))
+        if k % 4 == 3:
+            asked = [digest(f"text {x}") for x in range(0, 500, 7)]
+            got = {bytes(r["digest"]): (r["id"], r["n"]) for r in index.lookup(spark.createDataFrame([(d,) for d in asked * 2], "digest binary")).collect()}
+            best = min if keep == "min" else max
+            assert got == {d: (best(plain[d]), len(plain[d])) for d in asked if d in plain}
+    assert {r.level for r in index.runs} == {0, 1} and len(index.runs) == 4
+    # each entry was flushed once and merged about once; merging all with every batch would write
+    # half the number of batches times as much
+    assert index.entries_written <= 2 * flushed < batches / 2 * index.entries().count()
+    assert index.entries().count() == len(plain)
+    index.compact()
+    assert len(index.runs) == 1 and {bytes(r["digest"]): r["n"] for r in index.entries().collect()} == {d: len(ids) for d, ids in plain.items()}
+
+
 def test_filters_pass_all_that_they_hold(spark, monkeypatch):
     all_rows = spark.range(2000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), "id")
     held = all_rows.where("id < 300")
