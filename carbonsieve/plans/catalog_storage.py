@@ -11,6 +11,7 @@ from ..operators import checks, entities, review, tables
 from ..sources import keys, schemas
 from ..sources import tables as io
 from ..sources.staging import read_or_empty, staged, staging_path
+from ..streaming import rowlevel
 from . import jobs
 from .catalog import SQL, SQL_GIVEN, YEAR, _records, query
 from .fixtures import frame
@@ -128,10 +129,33 @@ def tables_beside_unreadable_pages(spark, d):
     return tables.html_tables(_odd_pages(spark, d)).where("table_index = 0")
 
 
+@same_as("streamed_page_tables", "tables_beside_unreadable_pages")
+def streamed_page_tables(spark, d):
+    """E3 on a stream: the same pages as they come, each batch written once."""
+    pages, arriving = spark.read.parquet(f"{d}/pages.parquet"), staging_path(spark, "arriving")
+    out, marks = staging_path(spark, "streamed"), staging_path(spark, "streamed-marks")
+    pages.repartition(6).write.parquet(arriving)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    rowlevel.write_once(_odd(stream), out, marks, tables.html_tables, available_now=True).awaitTermination()
+    return spark.read.parquet(out).drop("batch").where("table_index = 0")
+
+
+@query("seed_read", "select c_name as name, case when c_custkey%3=0 then null else 'T' || c_custkey end as ticker from customer")
+def seed_read(spark, d):
+    """A seed list as CSV, with empty fields, read back."""
+    c, path = spark.read.parquet(f"{d}/customer.parquet"), staging_path(spark, "seed")
+    ticker = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("T"), F.col("c_custkey").cast("string")))
+    c.select(F.col("c_name").alias("name"), ticker.alias("ticker")).write.option("header", True).csv(path)
+    return io.read_seed(spark, path)
+
+
 def _odd_pages(spark, d):
     """The pages, each with a table of its address before its own html, a fifth with a marked section
     that no parser knows."""
-    p = spark.read.parquet(f"{d}/pages.parquet")
+    return _odd(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+def _odd(p):
     head = F.concat(F.lit("<table><tr><th>url</th><th>odd</th></tr><tr><td>"), F.col("url"), F.lit("</td><td>x</td></tr></table>"))
     odd = F.when(F.col("page_id") % 5 == 1, "<![foo[x]]>").when(F.col("page_id") % 5 == 2, "<![CDATA[x]]>").otherwise("")
     return p.select("page_id", F.concat(head, odd, F.col("html")).alias("html"))

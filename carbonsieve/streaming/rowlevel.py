@@ -33,13 +33,15 @@ def write(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return df.writeStream.format("parquet").option("checkpointLocation", checkpoint).start(path)
 
 
-def write_once(df: DataFrame, path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def write_once(df: DataFrame, path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = False) -> StreamingQuery:
     """Writes each batch of a stream to a folder of its own, ``batch=<number>``, over whatever a
     run that died had put there: after a restart the stream repeats its last open batch under the
     same number, so every row is there exactly once. ``work`` is done batch by batch, and may
-    use what a stream cannot (windows, joins with stored tables)."""
+    use what a stream cannot (windows, joins with stored tables). ``available_now``: ends when what
+    is there by now is done."""
 
     def put(batch: DataFrame, number: int) -> None:
         (work(batch) if work else batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).start()
+    writer = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
