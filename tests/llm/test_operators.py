@@ -632,6 +632,7 @@ def test_bpe_equals_the_library(spark, docs, rows, none):
         assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
     got = docs.select("doc_id", bpe_automaton.round_trip(F.col("text"), WORD_BPE).alias("r"))
     assert all(r["r"]["decoded"] == own.decode(bytes(r["r"]["ids"])) for r in got.collect())
+    assert got.where(bpe_automaton.decoded(F.col("r.ids"), WORD_BPE) != F.col("r.decoded")).count() == 0
     assert none.select(bpe_automaton.round_trip(F.col("text"), WORD_BPE)).count() == 0
 
 
