@@ -605,7 +605,8 @@ def lei_key_clashes(spark, d):
 @query("record_key_clashes", "select company_id, reporting_year, extraction_date, count(*)::bigint as n from fx_extracted group by 1,2,3 having count(*)>1")
 def record_key_clashes(spark, d):
     """The key of a record, with all three of its columns."""
-    return schemas.key_violations(frame(spark, d, "fx_extracted"), ["company_id", "reporting_year", "extraction_date"])
+    rows = frame(spark, d, "fx_extracted").withColumn("extraction_date", F.col("extraction_date").cast("timestamp_ntz"))
+    return schemas.key_violations(rows, ["company_id", "reporting_year", "extraction_date"])
 
 
 @query("run_failures", "select ord, name || ': ' || error as line from fx_runs where error is not null")
