@@ -182,3 +182,15 @@ def test_spellings_that_differ_have_no_tokens():
     side.ids = side.ids.copy()
     side.ids[0] = own._side(0, pa.array(["x"])).ids[0]
     assert own._spells(0, side, texts).tolist() == [False, True, True]
+
+
+def test_texts_that_share_their_first_words():
+    """A text's empty last piece, before a new piece that begins with a space, is no white space."""
+    from tokenizers import Tokenizer
+
+    from carbonsieve.llm.token_blocks import ByteLevelEncoder
+
+    own, library = ByteLevelEncoder(A), Tokenizer.from_file(A)
+    texts = ["The a", "The b", "The", " b", "", "The\n c"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_array(pa.array(texts)).to_pylist()]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
