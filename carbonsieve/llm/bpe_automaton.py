@@ -36,6 +36,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql.functions import arrow_udf
 
 from .pieces import PieceCache, by_kind, encode_pieces, flat_ids, ids_array, text_runs
+from .shared import released
 
 #: what a text has that is not of printable ASCII, white space of it and the letters of Latin-1
 STRANGE = r"[^\t-\r -~À-ÖØ-öø-ÿ]"
@@ -364,6 +365,8 @@ def round_trip(text: Column, tokenizer_path: str) -> Column:
             ids = ids_array([bpe.encode_array(run) for run in text_runs(batch)])
             decoded = [bpe.decode_array(run) for run in text_runs(ids)]
             yield pa.StructArray.from_arrays([ids, pa.concat_arrays(decoded) if decoded else pa.array([], pa.string())], ["ids", "decoded"])
+            del batch, ids, decoded
+            released()
 
     return encode_and_decode(text)
 
