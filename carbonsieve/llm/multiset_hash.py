@@ -161,5 +161,5 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     n = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # ascending, nulls before all: the document that follows in descending order stands before
-    key = [F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")]
-    return in_order(rows, key, n).select("_range", "_side", "doc_id", "text").mapInPandas(_rows, SCHEMA)
+    key = [F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0))]
+    return in_order(rows, key, n, ties=F.xxhash64("text")).select("_range", "_side", "doc_id", "text").mapInPandas(_rows, SCHEMA)

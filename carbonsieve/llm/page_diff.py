@@ -223,5 +223,5 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
         F.lower(F.regexp_extract(url, r"^[^:/?#]+://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^(?:[^:/?#]+://[^/?#]*)?([^?#]*)", 1).alias("path"),
     )
-    key = [F.col("host"), F.col("path"), F.coalesce("page_id", F.lit(2**63 - 1)), F.xxhash64("html")]
-    return in_order(rows, key, n, both_sides=True).select("_range", "_side", "host", "path", "page_id", "url", "html").mapInPandas(_rows, SCHEMA)
+    key = [F.col("host"), F.col("path"), F.coalesce("page_id", F.lit(2**63 - 1))]
+    return in_order(rows, key, n, both_sides=True, ties=F.xxhash64("html")).select("_range", "_side", "host", "path", "page_id", "url", "html").mapInPandas(_rows, SCHEMA)

@@ -79,7 +79,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = False) -> DataFrame:
+#: a range of so many times the mean holds a frequent key
+UNEVEN = 2
+
+
+def _ends(df: DataFrame, key: list[Column], ranges: int) -> list:
+    """The first and last key and the number of rows of each range of the order by ``key``."""
+    keys = df.select(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)]).alias("_key"))
+    dealt = keys.repartitionByRange(ranges, "_key").groupBy(F.spark_partition_id().alias("p"))
+    return dealt.agg(F.min("_key").alias("first"), F.max("_key").alias("last"), F.count("*").alias("n")).orderBy("last").collect()
+
+
+def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = False, ties: Column | None = None) -> DataFrame:
     """``df`` dealt out and sorted so that each partition is one range of the global order by
     ``key`` and also holds copies of the rows that stand beside the range.
 
@@ -92,18 +103,20 @@ def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = F
     The bounds of the ranges (two keys each, so keys should be short) are the only rows that
     reach the driver; they are literals afterwards, so a lost task is dealt the same rows again,
     and a row is compared with about twice the square root of their number.
-    ``key`` must have no nulls. Of rows with an equal key at a bound, all are copied.
+    ``key`` must have no nulls. Of rows with an equal key at a bound, all are copied, so the
+    neighbour is the last of those before the range and the first of those after it.
+
+    ``ties`` orders the rows of one key. It may be costly, like the hash of a text: the bounds
+    come from ``key`` alone, so what only ``ties`` reads is read once, when the rows are dealt.
+    Where a key is so frequent that its range would be ``UNEVEN`` times the mean, ``ties`` becomes
+    part of the key and parts such rows too.
     """
+    ends = _ends(df, key, ranges)
+    if ties is not None and max((e["n"] for e in ends), default=0) * ranges > UNEVEN * sum(e["n"] for e in ends):
+        key, ties = [*key, ties], None
+        ends = _ends(df, key, ranges)
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(key)]))
     kind = keyed.schema["_key"].dataType.simpleString()
-    ends = (
-        keyed.select("_key")
-        .repartitionByRange(ranges, "_key")
-        .groupBy(F.spark_partition_id().alias("p"))
-        .agg(F.min("_key").alias("first"), F.max("_key").alias("last"))
-        .orderBy("last")
-        .collect()
-    )
     if not ends:
         return keyed.withColumns({"_range": F.lit(0), "_side": F.lit(0)})
     literal = lambda key: F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(key)]).cast(kind)
@@ -122,7 +135,8 @@ def in_order(df: DataFrame, key: list[Column], ranges: int, both_sides: bool = F
         seats.append(F.when(is_bound("first") & (at > 0), seat(at - 1, 1)))
     out = rows.withColumn("_seat", F.explode(F.array_compact(F.array(*seats))))
     out = out.select(*keyed.columns, F.col("_seat.range").alias("_range"), F.col("_seat.side").alias("_side"))
-    return out.repartitionById(len(ends), F.col("_range")).sortWithinPartitions("_range", "_side", "_key")
+    order = ["_range", "_side", "_key"] if ties is None else ["_range", "_side", "_key", ties]
+    return out.repartitionById(len(ends), F.col("_range")).sortWithinPartitions(*order)
 
 
 def small_side(table: DataFrame, rows: int = 500_000) -> DataFrame:

@@ -679,6 +679,53 @@ def test_order_gives_every_row_its_neighbours(spark):
     assert before == dict(zip(s, s[-1:] + s[:-1], strict=True)) and after == dict(zip(s, s[1:], strict=False))
 
 
+@pytest.mark.parametrize("heavy", [False, True])
+def test_order_parts_rows_of_one_key_by_ties(spark, heavy):
+    rows = [(1000 if heavy and i % 3 == 0 else i // 2, f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, text string").repartition(5)
+    parts = shared.in_order(df, [F.col("k")], 7, both_sides=True, ties=F.xxhash64("text")).select("_range", "_side", "k", "text").rdd.glom().collect()
+    before, after = {}, {}
+    for part in parts:
+        for x, y in zip(part, part[1:], strict=False):
+            if x["_range"] == y["_range"]:
+                if y["_side"] == 0:
+                    before[y["text"]] = x["text"]
+                if x["_side"] == 0:
+                    after[x["text"]] = y["text"]
+    s = [r["text"] for r in df.orderBy("k", F.xxhash64("text")).collect()]
+    assert before == dict(zip(s, s[-1:] + s[:-1], strict=True)) and after == dict(zip(s, s[1:], strict=False))
+    assert max(sum(r["_side"] == 0 for r in p) for p in parts) < 100
+
+
+def test_order_finds_its_bounds_without_reading_texts(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(k):
+        read.add(1)
+        return f"t{k}"
+
+    df = spark.range(200).withColumnRenamed("id", "k").withColumn("text", text("k"))
+    out = shared.in_order(df, [F.col("k")], 4, ties=F.xxhash64("text"))
+    assert read.value == 0
+    assert out.count() >= 200
+
+
+@pytest.mark.parametrize("ranges", [1, 4])
+def test_next_documents_with_null_and_repeated_ids(spark, ranges):
+    rng = random.Random(3)
+    rows = [(None if i % 3 == 0 else i // 4, None if i == 8 else " ".join(rng.choices(["a", "b", "\u00e9", "c\n"], k=i % 11))) for i in range(60)]
+    for some in (rows, rows[:1], rows[:0]):
+        df = spark.createDataFrame(some, "doc_id long, text string")
+        hashed = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+        want = []
+        for k, r in enumerate(hashed):
+            edited = multiset_hash.edit(r["text"], hashed[k - 1]["text"])
+            want.append((str(r["doc_id"]), len(r["text"]), hashlib.sha256(edited.encode()).hexdigest()))
+        got = [(str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in multiset_hash.with_next(df, ranges=ranges).collect()]
+        assert sorted(got) == sorted(want)
+
+
 def test_pipeline_stages(spark, docs, none):
     import corpus_pipeline
 
