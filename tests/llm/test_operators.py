@@ -726,6 +726,29 @@ def test_next_documents_with_null_and_repeated_ids(spark, ranges):
         assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("common, apart", [(8, 2), (80, 20), (81, 19), (800, 200), (810, 190)])
+def test_no_filter_of_the_chain_loses_pairs_at_the_threshold(spark, common, apart):
+    """Pairs of overlap 0.80 to 0.81 through every filter before the full sets: bands, likelihood
+    and, in small buckets, one bit a register."""
+    rng, sketcher, pairs = np.random.default_rng(common), set_sketch.Sketcher(), 300
+    width, band = set_sketch.REGISTERS, set_sketch.ROWS
+    a, b, n_a, n_b = [], [], [], []
+    for k in range(pairs):
+        both = rng.integers(0, 2**64, common + apart, dtype=np.uint64)
+        cut = common + apart * (k % 3) // 2
+        x, y = both[:cut], np.concatenate([both[:common], both[cut:]])
+        a.append(sketcher.registers(x)), b.append(sketcher.registers(y))
+        n_a.append(float(len(x))), n_b.append(float(len(y)))
+    a, b = np.array(a), np.array(b)
+    assert ((a == b).reshape(pairs, width // band, band).all(axis=2).any(axis=1)).all()
+    assert set_sketch.may_reach(80, np.array(n_a), np.array(n_b), a.astype(np.int32), b.astype(np.int32)).all()
+    rows = [(bytearray(x.astype(">u2").tobytes()), bytearray(y.astype(">u2").tobytes())) for x, y in zip(a, b, strict=True)]
+    df = spark.createDataFrame(rows, "x binary, y binary")
+    bits = df.select(*[c.alias(f"{s}{k}") for s in "xy" for k, c in enumerate(set_sketch._bit_signature(F.col(s)))])
+    most = bits.selectExpr("max(bit_count(x0 ^ y0) + bit_count(x1 ^ y1)) as most").first()["most"]
+    assert most <= set_sketch._most_bits(80)
+
+
 def test_pipeline_stages(spark, docs, none):
     import corpus_pipeline
 
