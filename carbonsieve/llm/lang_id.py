@@ -79,8 +79,8 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     )
 
 
-def gram_counts(words: DataFrame) -> DataFrame:
-    """lang, size, gram, n over all words, each padded by a space on either side."""
+def word_grams(words: DataFrame) -> DataFrame:
+    """lang, n, size, entry: the n-grams of all words, each padded by a space on either side."""
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     sizes = F.array(*[F.lit(k) for k in ORDERS])
     starts = F.sequence(F.lit(1), F.greatest(F.length("padded") - F.col("size") + 1, F.lit(1)))
@@ -88,9 +88,7 @@ def gram_counts(words: DataFrame) -> DataFrame:
         words.withColumn("padded", padded)
         .select("lang", "n", "padded", F.explode(sizes).alias("size"))
         .select("lang", "n", "size", "padded", F.explode(starts).alias("at"))
-        .select("lang", "n", "size", F.expr("substring(padded, at, size)").alias("gram"))
-        .groupBy("lang", "size", "gram")
-        .agg(F.sum("n").alias("n"))
+        .select("lang", "n", "size", F.expr("substring(padded, at, size)").alias("entry"))
     )
 
 
@@ -123,14 +121,19 @@ class Counted:
         return Table({e: i for i, e in enumerate(kept["entry"].to_pylist())}, (rows / UNIT).astype(np.float32))
 
 
-def _counted(counts: DataFrame, key: str, langs: list[str]) -> Counted:
+def _counted(counts: DataFrame, langs: list[str], sizes: tuple[int, ...]) -> dict[int, Counted]:
+    """The entries of each size, of ``counts`` (lang, n, size, entry); all are one written table."""
     own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-    rows = counts.groupBy(F.col(key).alias("entry")).agg(F.sum("n").alias("total"), *own)
+    rows = counts.groupBy("size", "entry").agg(F.sum("n").alias("total"), *own)
     rows = written(rows.withColumn("class", F.floor(F.log2("total") * 16).cast("int")).drop("total"), "lang-entries")
     sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(len(langs))]
-    found = rows.groupBy("class").agg(F.count("*").alias("size"), F.count_if(F.length("entry") <= LONGEST_WORD).alias("short"), *sums).collect()
-    classes = sorted(((r["class"], r["short"]) for r in found), reverse=True)
-    return Counted(rows, [sum(r[f"n{i}"] for r in found) for i in range(len(langs))], sum(r["size"] for r in found), classes)
+    found = rows.groupBy("size", "class").agg(F.count("*").alias("all"), F.count_if(F.length("entry") <= LONGEST_WORD).alias("short"), *sums).collect()
+    out = {}
+    for k in sizes:
+        own = [r for r in found if r["size"] == k]
+        classes = sorted(((r["class"], r["short"]) for r in own), reverse=True)
+        out[k] = Counted(rows.where(F.col("size") == k).drop("size"), [sum(r[f"n{i}"] for r in own) for i in range(len(langs))], sum(r["all"] for r in own), classes)
+    return out
 
 
 @dataclass
@@ -147,9 +150,8 @@ def train(
 ) -> Trained:
     counts = written(word_counts(docs, text_col, lang_col), "lang-words") if counts is None else counts
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    pieces = written(gram_counts(counts), "lang-grams")
-    words = _counted(counts, "word", langs)
-    grams = {k: _counted(pieces.where(F.col("size") == k), "gram", langs) for k in ORDERS}
+    words = _counted(counts.select("lang", "n", F.lit(0).alias("size"), F.col("word").alias("entry")), langs, (0,))[0]
+    grams = _counted(word_grams(counts), langs, ORDERS)
     head = words.head(max_words)
     if len(head.keys) == words.size and all(g.size <= max_grams for g in grams.values()):
         return Trained(Model(langs, head, {k: g.head(max_grams) for k, g in grams.items()}))
@@ -248,8 +250,10 @@ def _by_grams(words: DataFrame, grams: dict[int, Counted]) -> list[DataFrame]:
         pieces = pieces.select("word", F.expr(f"substring(padded, at, {k})").alias("entry"))
         table = small_side(grams[k].rows, MAX_GRAMS).select("entry", *grams[k].shares())
         means = [F.floor(F.avg(f"s{i}") + 0.5).cast("int").alias(f"s{i}") for i in range(len(grams[k].totals))]
-        out.append(written(pieces.join(table, "entry").groupBy("word").agg(*means), f"lang-grams-{k}"))
-        words = written(words.join(out[-1].select("word"), "word", "left_anti"), f"lang-open-{k}")
+        found = pieces.join(table, "entry").groupBy("word").agg(*means)
+        met = written(words.join(found, "word", "left"), f"lang-grams-{k}")
+        out.append(met.where(F.col("s0").isNotNull()))
+        words = met.where(F.col("s0").isNull()).select("word")
     return out
 
 

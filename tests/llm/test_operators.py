@@ -612,6 +612,24 @@ def test_language_counts_words_outside_the_broadcast_ones(spark):
     assert left == {r[0] for r in rows} - {500, 501}
 
 
+def test_language_writes_each_table_once(spark, monkeypatch):
+    """Training writes words, their counts by language and those of all n-grams; a step of the
+    search by n-grams writes one table. Every file of a task starts processes beside it."""
+    written, names = lang_id.written, []
+    monkeypatch.setattr(lang_id, "written", lambda df, name: names.append(name) or written(df, name))
+    df = spark.createDataFrame([(1, "der die das", "de"), (3, "the of and", "en"), (4, "thede щщ x", None)], "doc_id long, text string, lang string")
+    trained = lang_id.train(df, max_words=2, max_grams=2)
+    assert names == ["lang-words", "lang-entries", "lang-entries"]
+    assert {k: g.size for k, g in trained.grams.items()} == {k: len({g for w in "der die das the of and".split() for g in grams_of(f" {w} ", k)}) for k in (4, 3, 2, 1)}
+    names.clear()
+    assert lang_id.scores(df, trained).count() == 3
+    assert [n for n in names if n.startswith(("lang-grams", "lang-open"))] == [f"lang-grams-{k}" for k in (4, 3, 2, 1)]
+
+
+def grams_of(padded, k):
+    return [padded[i : i + k] for i in range(max(1, len(padded) - k + 1))]
+
+
 def test_language_backs_off_to_shorter_grams():
     table = lambda d: lang_id.Table({k: i for i, k in enumerate(d)}, np.array(list(d.values()) or [[0, 0]], np.float32))
     m = lang_id.Model(["a", "b"], table({"known": [0, -9]}), {4: table({"abcd": [-9, 0]}), 3: table({"xyz": [0, -9]}), 2: table({}), 1: table({})})
