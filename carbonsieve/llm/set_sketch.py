@@ -14,7 +14,9 @@ to components. Buckets that still hold several components are taken up again: a
 another hub, drawn by hash, for the members outside its component, and at last for everything
 across components: in small buckets by the pairs that sizes and one bit per register do not rule
 out, in large ones by looking the members outside the largest component up in indexed blocks of
-the bucket. So no link between components is lost to the economy of the first steps.
+the bucket; where these are many, blocks of the bucket's members are joined in themselves before.
+A block gives only as many links as join its components, however many pairs hold. So no link
+between components is lost to the economy of the first steps.
 
 Rules for odd input: a null or empty text has the empty set and is linked with nothing; a text
 with fewer words than a shingle is one shingle of all its words; rows with the same id are one
@@ -24,7 +26,8 @@ a null id are linked with nothing and have a null component. An empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -194,11 +197,10 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
 
     stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = same.unionByName(_links(stars, texts, sketches, shingle, percent))
-    found = partial_components(links)
 
     # buckets in which several components are left: each time another hub is tried
     for turn in range(HUB_TURNS):
-        placed = _placed(met, found)
+        placed = _placed(met, partial_components(links))
         draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
         several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(draw).alias("hub")).where("c0 < c1")
         # written first: joined to its own groups, a frequent key could not be split
@@ -206,12 +208,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
         tried = placed.join(small_side(several), "key").where("component <> other_component")
         more = tried.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         links = links.unionByName(_links(more, texts, sketches, shingle, percent))
-        found = partial_components(links)
+    # whole components from here on: parts of one must not be looked up in each other
+    found = written(components(links), "components")
+
+    found, left = _joined_in_blocks(met, found, texts, shingle, percent)
 
     # and then everything across components: pairs in small buckets, blocks in large ones
-    placed = _placed(met, found)
-    several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).where("c0 < c1").select("key", "size")
-    left = written(placed.join(small_side(written(several, "open-keys")), "key"), "open-buckets")
     about = sketches.select("node", "n", *_bit_signature(F.col("registers")), bands.alias("keys"))
     small = left.where(F.col("size") <= PAIRED).join(about, "node")
     across = small.alias("x").join(
@@ -223,7 +225,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
         ),
     )
     rest = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    links = links.unionByName(_links(rest, texts, sketches, shingle, percent))
+    links = _edges(found).unionByName(_links(rest, texts, sketches, shingle, percent))
     links = links.unionByName(_block_links(left.where(F.col("size") > PAIRED), texts, shingle, percent))
     final = written(components(links), "components")
 
@@ -233,50 +235,107 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
+def _joined_in_blocks(met: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The components after large buckets that many members are apart in were cut into blocks, each
+    joined in itself, and what is left open. The blocks are dealt anew as long as that joins at least
+    half of what was apart; each round reads a member of a bucket once."""
+    left, apart = _open(met, found), None
+    for turn in itertools.count():
+        wide = _plan(left.where(F.col("size") > PAIRED)).where(F.col("outside") > PROBES)
+        wide = written(wide.select("key", "parts", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "wide-buckets")
+        now = wide.agg(F.sum("parts")).first()[0]
+        if not now or apart is not None and now > apart / 2:
+            return found, left
+        apart = now
+        dealt = written(left.join(small_side(wide), "key").select("key", "node", "component", _share("blocks", turn + 3).alias("block")), "own-blocks")
+        work = _with_texts(dealt, texts).withColumns({"held": F.lit(True), "probe": F.lit(True)})
+        joined = written(work.groupBy("key", "block").applyInPandas(_joins(size, percent), "a long, b long").distinct(), "own-links")
+        found = written(components(_edges(found).unionByName(joined)), "components")
+        left = _open(met, found)
+
+
 def _block_links(left: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links across components in large buckets, on full sets and without forming pairs.
+    """Links that join all components which links on full sets join in large buckets, without
+    forming pairs.
 
     A bucket is cut into blocks of about ``BLOCK`` members, whose sets are indexed by shingle.
     The members outside of the bucket's largest component are looked up in every block, about
-    ``PROBES`` at a time, so a group holds a bounded number of texts whatever the bucket."""
-    sizes = left.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("size"))
-    plan = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), (F.max("size") - F.max("c")).alias("outside"), F.max("size").alias("all"))
+    ``PROBES`` at a time, so a group holds a bounded number of texts whatever the bucket, and it
+    gives fewer links than it holds components."""
+    plan = _plan(left)
     plan = plan.select("key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("outside") / PROBES).cast("int").alias("turns"))
     # written first: joined to its own groups, a frequent key could not be split
     plan = small_side(written(plan, "large-plans"))
     rows = written(left.select("key", "node", "component").join(plan, "key"), "large-buckets")
-    share = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    indexed = rows.select("key", "node", "component", F.lit(False).alias("probe"), share("blocks", 1).alias("block"), every("turns").alias("turn"))
-    probes = rows.where("component <> main").select("key", "node", "component", F.lit(True).alias("probe"), share("turns", 2).alias("turn"), every("blocks").alias("block"))
-    wanted = written(rows.select("node").distinct(), "block-nodes")
-    held = written(texts.join(small_side(wanted), "node"), "block-texts")
-    work = indexed.unionByName(probes).join(held, "node")
-
-    def linked(group: pd.DataFrame) -> pd.DataFrame:
-        sets = {t: shingle_set(t, size) for t in set(group["text"].fillna(""))}
-        rows = list(zip(group["node"], group["component"], group["probe"], group["text"].fillna(""), strict=True))
-        index = [r for r in rows if not r[2]]
-        out = []
-        if index:
-            lengths = np.array([len(sets[r[3]]) for r in index])
-            flat, owner = np.concatenate([sets[r[3]] for r in index]), np.repeat(np.arange(len(index)), lengths)
+    indexed = rows.select("key", "node", "component", F.lit(True).alias("held"), F.lit(False).alias("probe"), _share("blocks", 1).alias("block"), every("turns").alias("turn"))
+    probes = rows.where("component <> main").select("key", "node", "component", F.lit(False).alias("held"), F.lit(True).alias("probe"), _share("turns", 2).alias("turn"), every("blocks").alias("block"))
+    work = _with_texts(indexed.unionByName(probes), texts, rows)
+    found = work.groupBy("key", "block", "turn").applyInPandas(_joins(size, percent), "a long, b long")
+    return written(found.distinct(), "block-links")
+
+
+def _joins(size: int, percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Of a group's links between members that are looked up (``probe``) and members that are
+    indexed (``held``): as many as join the components, so that fewer links come out than
+    components go in, however many pairs hold."""
+
+    def joins(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, texts = group["node"].tolist(), group["text"].fillna("").tolist()
+        label = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
+        of = {t: shingle_set(t, size) for t in set(texts)}
+        held, out = np.flatnonzero(group["held"].to_numpy(bool)), []
+        if len(held):
+            lengths = np.array([len(of[texts[k]]) for k in held])
+            flat, owner = np.concatenate([of[texts[k]] for k in held]), np.repeat(np.arange(len(held)), lengths)
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            for node, component, probe, text, *_ in rows:
-                if not probe:
+            for i in np.flatnonzero(group["probe"].to_numpy(bool)).tolist():
+                if (label[held] == label[i]).all():
                     continue
-                mine = sets[text]
+                mine = of[texts[i]]
                 lo, hi = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
                 n = hi - lo
                 at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                both = np.bincount(owner[at], minlength=len(index))
-                near = np.flatnonzero((both > 0) & (100 * both >= percent * (len(mine) + lengths - both)))
-                out += [(min(node, index[k][0]), max(node, index[k][0])) for k in near.tolist() if index[k][1] != component]
+                both = np.bincount(owner[at], minlength=len(held))
+                near = held[(both > 0) & (100 * both >= percent * (len(mine) + lengths - both))]
+                while len(near := near[label[near] != label[i]]):
+                    other = nodes[near[0]]
+                    out.append((min(nodes[i], other), max(nodes[i], other)))
+                    label[label == label[near[0]]] = label[i]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    found = work.groupBy("key", "block", "turn").applyInPandas(linked, "a long, b long")
-    return written(found.distinct(), "block-links")
+    return joins
+
+
+def _plan(left: DataFrame) -> DataFrame:
+    """Per bucket: its largest component (main), members outside of it, all members, components."""
+    sizes = left.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("size"))
+    most = F.max_by("component", F.struct("c", "component"))
+    return sizes.groupBy("key").agg(most.alias("main"), (F.max("size") - F.max("c")).alias("outside"), F.max("size").alias("all"), F.count("*").alias("parts"))
+
+
+def _share(count: str, salt: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
+
+
+def _with_texts(rows: DataFrame, texts: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the texts of their nodes, which are those of ``of``, fetched once."""
+    wanted = written((rows if of is None else of).select("node").distinct(), "block-nodes")
+    return rows.join(written(texts.join(small_side(wanted), "node"), "block-texts"), "node")
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    """Links (a, b) that give the components again."""
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _open(met: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with the size of the bucket."""
+    placed = _placed(met, found)
+    several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).where("c0 < c1").select("key", "size")
+    # written first: joined to its own groups, a frequent key could not be split
+    return written(placed.join(small_side(written(several, "open-keys")), "key"), "open-buckets")
 
 
 def _placed(met: DataFrame, found: DataFrame) -> DataFrame:

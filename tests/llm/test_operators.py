@@ -455,6 +455,34 @@ def test_blocks_of_large_buckets_find_what_pairs_find(spark, monkeypatch):
     assert {r[0] for r in want if r[2] != r[0]} <= linked and len({r[2] for r in want}) > 1
 
 
+def alike_and_alone(spark):
+    """Texts of one bucket: 60 that all resemble each other, 20 that resemble nothing."""
+    near = [(i, " ".join(f"w{k}" if k != i else f"x{i}" for k in range(100))) for i in range(60)]
+    alone = [(100 + i, " ".join(f"y{i}_{k}" for k in range(40))) for i in range(20)]
+    return spark.createDataFrame(near + alone, "node long, text string")
+
+
+def test_blocks_give_fewer_links_than_members(spark):
+    texts = alike_and_alone(spark)
+    left = texts.select(F.lit(1).cast("long").alias("key"), "node", F.col("node").alias("component"), F.lit(80).cast("long").alias("size"))
+    links = set_sketch._block_links(left, texts, 2, 80)
+    assert links.count() < 60
+    assert {r["node"]: r["component"] for r in components.components(links).collect()} == {i: 0 for i in range(60)}
+
+
+def test_large_buckets_are_joined_in_blocks_of_their_own_first(spark, monkeypatch):
+    for name, value in (("BLOCK", 8), ("PROBES", 10)):
+        monkeypatch.setattr(set_sketch, name, value)
+    texts = alike_and_alone(spark)
+    met = texts.select(F.lit(1).cast("long").alias("key"), F.lit(0).alias("band"), "node")
+    none = spark.createDataFrame([], "node long, component long")
+    found, left = set_sketch._joined_in_blocks(met, none, texts, 2, 80)
+    now = {r["node"]: r["component"] for r in found.collect()}
+    assert set(now) <= set(range(60)) and len(set(now.values())) < 10 and left.count() == 80
+    links = set_sketch._edges(found).unionByName(set_sketch._block_links(left, texts, 2, 80))
+    assert {r["node"]: r["component"] for r in components.components(links).collect()} == {i: 0 for i in range(60)}
+
+
 def test_sketches_estimate_overlap_and_merge():
     rng = np.random.default_rng(3)
     s = set_sketch.Sketcher()
