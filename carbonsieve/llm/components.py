@@ -1,7 +1,8 @@
-"""Connected components of a table of links, by alternating star contractions.
+"""Connected components of a table of links, by hooking and contraction.
 
-Every round is a few aggregations and joins on node ids; nothing is gathered per component,
-so a component may hold any share of the nodes.
+Every round is one aggregation on node ids and joins with the labels found so far, by broadcast
+while these are few; nothing is gathered per component, so a component may hold any share of
+the nodes.
 """
 
 from __future__ import annotations
@@ -9,44 +10,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import small_side, written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One contraction: the neighbours of a node (large: those above it; small: those below
-    it and itself) are linked to the least of it and its neighbours instead."""
-    if large:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    near = both.join(least, "a")
-    if large:
-        moved = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        moved = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return moved.where("a <> b").distinct()
+def _contracted(links: DataFrame, found: DataFrame) -> DataFrame:
+    """``links`` between the components that they still part, the larger id first."""
+    side = small_side(found)
+    of = lambda x: side.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return _oriented(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
 
 
-def partial_components(edges: DataFrame) -> DataFrame:
-    """node, component for nodes that have a link, after a single contraction: nodes with the
-    same component are connected, but connected nodes may still differ. ``edges``: a, b."""
-    both = _star(_star(edges.where("a <> b").distinct(), large=True), large=False)
-    return written(both.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component"), "components")
+def _oriented(links: DataFrame) -> DataFrame:
+    return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def _lifted(labels: DataFrame, parents: DataFrame) -> DataFrame:
+    """``labels`` whose component is the parent of what it was, where that has one (``moved``)."""
+    up = small_side(parents).select(F.col("node").alias("component"), F.col("component").alias("parent"))
+    return labels.join(up, "component", "left").select("node", F.coalesce("parent", "component").alias("component"), F.col("parent").isNotNull().alias("moved"))
+
+
+def joined(links: DataFrame, found: DataFrame | None = None, most_rounds: int = 60) -> DataFrame:
+    """node, component (least node reachable) for every node that is not the least of its
+    component, over ``links`` (a, b) and those that gave ``found``, a result of this function.
+
+    In each round every component that has a smaller neighbour is hooked to the least; paths of
+    hooks are halved until each node names the end of its own. Of two rounds a component that
+    still has neighbours takes in another, so their number halves at least. Links within a
+    component are dropped, and what is left is all that the next round reads."""
+    now = written(_oriented(links) if found is None else _contracted(links, found), "links")
+    for _ in range(most_rounds):
+        if not now.count():
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")) if found is None else found
+        parents = written(now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")), "parents")
+        while (step := written(_lifted(parents, parents), "parents")).where("moved").count():
+            parents = step.select("node", "component")
+        found = parents if found is None else written(_lifted(found, parents).select("node", "component").unionByName(parents), "components")
+        now = written(_contracted(now, parents), "links")
+    raise RuntimeError("components did not settle")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """node, component (least node reachable) for every node that has a link; links are taken
     both ways; links of a node to itself and null ends are ignored."""
-    now = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), "links")
-    mark = None
-    for _ in range(most_rounds):
-        now = written(_star(_star(now, large=True), large=False), "links")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == mark or not state[0]:
-            break
-        mark = state
-    else:
-        raise RuntimeError("components did not settle")
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    found = joined(edges.select(F.col(a).alias("a"), F.col(b).alias("b")), most_rounds=most_rounds)
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .components import components, partial_components
+from .components import joined
 from .multiset_hash import MIX, mixed, word_hashes
 from .shared import own_name, released, small_side, written
 
@@ -159,9 +159,11 @@ def _confirmed(percent: int, size: int, a: Column, b: Column) -> Column:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on their full sets. ``nodes``: node, n, registers."""
+    """The distinct pairs (a, b) that hold on their full sets. ``nodes``: node, n, registers. No ``b``
+    is in more pairs than its buckets and their hubs give; an ``a`` may be in any number."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    # dealt by b once, for the distinct pairs and the join with b's sketches
+    near = pairs.repartition("b").distinct().join(side("b"), "b").join(side("a"), "a")
     near = written(near.where(_likely(percent, F.col("n_a"), F.col("n_b"), F.col("r_a"), F.col("r_b"))).select("a", "b"), "near-pairs")
     # texts are fetched once for all pairs that they are in
     wanted = written(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "near-nodes")
@@ -195,21 +197,19 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
     buckets = written(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub"), "buckets")
     met = written(keys.join(buckets, "key"), "bucket-members")
 
-    stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = same.unionByName(_links(stars, texts, sketches, shingle, percent))
+    stars = met.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    found = joined(same.unionByName(_links(stars, texts, sketches, shingle, percent)))
 
     # buckets in which several components are left: each time another hub is tried
     for turn in range(HUB_TURNS):
-        placed = _placed(met, partial_components(links))
+        placed = _placed(met, found)
         draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
         several = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(draw).alias("hub")).where("c0 < c1")
         # written first: joined to its own groups, a frequent key could not be split
         several = written(several.select("key", F.col("hub.node").alias("other"), F.col("hub.component").alias("other_component")), "open-hubs")
         tried = placed.join(small_side(several), "key").where("component <> other_component")
-        more = tried.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        links = links.unionByName(_links(more, texts, sketches, shingle, percent))
-    # whole components from here on: parts of one must not be looked up in each other
-    found = written(components(links), "components")
+        more = tried.select(F.col("other").alias("a"), F.col("node").alias("b"))
+        found = joined(_links(more, texts, sketches, shingle, percent), found)
 
     found, left = _joined_in_blocks(met, found, texts, shingle, percent)
 
@@ -224,10 +224,10 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_
             f" and bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= {_most_bits(percent)}"
         ),
     )
-    rest = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    links = _edges(found).unionByName(_links(rest, texts, sketches, shingle, percent))
+    rest = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    links = _links(rest, texts, sketches, shingle, percent)
     links = links.unionByName(_block_links(left.where(F.col("size") > PAIRED), texts, shingle, percent))
-    final = written(components(links), "components")
+    final = joined(links, found)
 
     home = nodes.select("digest", F.col("n").alias("n_of"), "node").join(final, "node", "left").select("digest", "n_of", F.coalesce("component", "node").alias("component_id"))
     out = sketched.select("doc_id", "n", "digest").join(home, (F.col("n") == F.col("n_of")) & (sketched["digest"] == home["digest"]), "left")
@@ -249,8 +249,8 @@ def _joined_in_blocks(met: DataFrame, found: DataFrame, texts: DataFrame, size:
         apart = now
         dealt = written(left.join(small_side(wide), "key").select("key", "node", "component", _share("blocks", turn + 3).alias("block")), "own-blocks")
         work = _with_texts(dealt, texts).withColumns({"held": F.lit(True), "probe": F.lit(True)})
-        joined = written(work.groupBy("key", "block").applyInPandas(_joins(size, percent), "a long, b long").distinct(), "own-links")
-        found = written(components(_edges(found).unionByName(joined)), "components")
+        links = written(work.groupBy("key", "block").applyInPandas(_joins(size, percent), "a long, b long").distinct(), "own-links")
+        found = joined(links, found)
         left = _open(met, found)
 
 

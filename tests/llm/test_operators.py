@@ -501,6 +501,39 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_go_on_from_those_found(spark):
+    """Links that come later join whole components: as if all had come at once."""
+    rng = random.Random(8)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
+    root = list(range(200))
+    for a, b in links:
+        low, high = sorted((root[a], root[b]))
+        root = [low if x == high else x for x in root]
+    found = None
+    for part in (links[:60], links[60:140], links[140:], links[:20]):
+        found = components.joined(spark.createDataFrame(part, "a long, b long"), found)
+    assert sorted(map(tuple, found.select("node", "component").collect())) == [(i, r) for i, r in enumerate(root) if r != i]
+
+
+def test_components_shuffle_once_a_round(spark):
+    """Every shuffle has all its tasks however few the links are: two rounds and the roots are three."""
+    links = spark.createDataFrame([(50, k) for k in range(20, 90)], "a long, b long")
+    put = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was, tracker = {k: spark.conf.get(k) for k in put}, spark.sparkContext.statusTracker()
+    try:
+        for k, v in put.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("components", "components")
+        assert {r["component"] for r in components.components(links).collect()} == {20}
+        stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    infos = [tracker.getStageInfo(s) for s in stages]
+    assert sum(i.numCompletedTasks >= 40 for i in infos if i) <= 3
+
+
 PAGE = "<html><head><title>t</title></head><body><nav>Menu {n}</nav><div class='ad-slot'>Buy</div>{body}<form>f</form><footer>&copy; x</footer></body></html>"
 
 
